@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tulha.plans import reports, views
+from tulha.plans import api, dashboard, exercises, forecast, reports, views
 from tulha.session import tune
 from tulha.sources.fixture import AS_OF, FixtureStar
 
@@ -20,17 +20,36 @@ def _on_star(plan: Callable[..., DataFrame], **parameters: object) -> Query:
     return run
 
 
-def queries() -> dict[str, Query]:
-    star_plans = {
-        "vw_estoque_atual": _on_star(views.vw_estoque_atual),
-        "vw_vendas_consolidadas": _on_star(views.vw_vendas_consolidadas),
-        "vw_compras_consolidadas": _on_star(views.vw_compras_consolidadas),
-        "estoque_atual": _on_star(reports.estoque_atual),
+def _star_queries() -> dict[str, Query]:
+    plain = [
+        *[getattr(views, n) for n in ("vw_estoque_atual", "vw_vendas_consolidadas",
+                                      "vw_compras_consolidadas")],
+        *[getattr(reports, n) for n in reports.__all__ if n != "pedidos_em_aberto"],
+        api.api_estoque, api.api_estoque_criticos, api.api_estoque_resumo, api.api_vendas_lista,
+        api.api_kpis_resumo, api.api_kpis_status, api.api_kpis_top5, api.api_vendas_periodo,
+        api.api_margem, api.api_anomalias, forecast.previsao_demanda,
+        dashboard.dash_kpis, dashboard.dash_receita_mensal, dashboard.dash_receita_segmento,
+        dashboard.dash_estoque_top20, dashboard.dash_status_estoque,
+        dashboard.dash_valor_categoria, dashboard.dash_abc, dashboard.dash_margem_produto,
+        dashboard.dash_margem_categoria, dashboard.dash_status_pedidos, dashboard.dash_compras,
+        dashboard.dash_fornecedores, dashboard.dash_status_oc,
+        exercises.x_produtos_categoria, exercises.x_top5_clientes_pedidos,
+        exercises.x_receita_mes, exercises.x_mais_vendidos_abaixo_minimo,
+        exercises.x_hist_desconto, exercises.x_receita_por_item_genero,
+        exercises.x_valor_total_estoque, exercises.x_margem_topn,
+    ]
+    return {
+        **{plan.__name__: _on_star(plan) for plan in plain},
         "pedidos_em_aberto": _on_star(reports.pedidos_em_aberto, as_of=AS_OF),
-        "produtos_abaixo_minimo": _on_star(reports.produtos_abaixo_minimo),
-        "vendas_por_periodo": _on_star(reports.vendas_por_periodo),
-        "top_clientes": _on_star(reports.top_clientes),
-        "giro_estoque": _on_star(reports.giro_estoque),
-        "margem_por_produto": _on_star(reports.margem_por_produto),
+        "api_estoque_filtrado": _on_star(api.api_estoque, status="ok", categoria="ECONOMY"),
+        "api_estoque_produto": _on_star(api.api_estoque_produto, cod_produto=42),
+        "api_vendas_lista_status": _on_star(api.api_vendas_lista, status="entregue", limit=500),
+        "api_anomalias_media_geral": _on_star(api.api_anomalias, deviation_from="all"),
+        "previsao_reposicao": _on_star(forecast.previsao_reposicao, as_of=AS_OF),
+        "previsao_reposicao_total": _on_star(forecast.previsao_reposicao_total, as_of=AS_OF),
+        "x_segmento_credito": _on_star(exercises.x_segmento_credito, segmento="machinery"),
     }
-    return star_plans
+
+
+def queries() -> dict[str, Query]:
+    return _star_queries()
