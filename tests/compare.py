@@ -60,7 +60,7 @@ def differences(df, con, sql: str) -> list[str]:
     found = [
         f"type of {n}: {ours[n]} != {theirs[n]}"
         for n in names
-        if KINDS.get(theirs[n], theirs[n]) != ours[n]
+        if KINDS.get(theirs[n], theirs[n]) != ours[n].removesuffix("_ntz")
     ]
     position = {n: i for i, n in enumerate(theirs)}
     a = sorted((tuple(plain(r[n]) for n in names) for r in df.collect()), key=repr)

@@ -75,14 +75,15 @@ def x_receita_por_item_genero(star: Star) -> DataFrame:
     per_product = lines.groupBy("cod_produto").agg(
         F.sum("quantidade").alias("qtd"), F.sum("valor_total_item").alias("receita")
     )
-    best = F.max_by("cod_produto", F.struct("receita", (-F.col("cod_produto")).alias("tie")))
+    # Largest revenue first, then the smallest code.
+    best = F.min(F.struct((-F.col("receita")).alias("order"), "cod_produto"))
     return (
         per_product.join(star.table("dim_produtos", "cod_produto", "categoria"), "cod_produto")
         .groupBy(F.col("categoria").alias("genero"))
         .agg(
             dbl(F.sum("qtd")).alias("unidades"),
             money(F.sum("receita")).alias("receita"),
-            best.alias("melhor_item"),
+            best["cod_produto"].alias("melhor_item"),
             money(F.max("receita")).alias("receita_melhor_item"),
         )
         .orderBy(F.desc("receita"), "genero")

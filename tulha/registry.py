@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tulha.plans import api, dashboard, exercises, forecast, reports, views
+from tulha.model import ENTITIES
+from tulha.operators.quality import referential_checks
+from tulha.plans import api, dashboard, etl, exercises, forecast, loading, reports, views
 from tulha.session import tune
-from tulha.sources.fixture import AS_OF, FixtureStar
+from tulha.sources.fixture import AS_OF, FixtureStar, read_table
+from tulha.sources.raw_fixture import RawFixture
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,5 +54,55 @@ def _star_queries() -> dict[str, Query]:
     }
 
 
+def _on_raw(plan: Callable[..., DataFrame], *arguments: object) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return plan(RawFixture(tune(spark), sf_dir), *arguments)
+
+    return run
+
+
+def _on_runs(plan: Callable[[DataFrame], DataFrame]) -> Query:
+    return _on_raw(lambda raw: plan(loading.DerivedLog(raw).runs()))
+
+
+def _on_rejects(plan: Callable[[DataFrame], DataFrame]) -> Query:
+    return _on_raw(lambda raw: plan(loading.DerivedLog(raw).rejects()))
+
+
+def _quality_kpis(raw: RawFixture) -> DataFrame:
+    log = loading.DerivedLog(raw)
+    return loading.dash_qualidade_kpis(log.runs(), log.rejects())
+
+
+def _merged_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star = FixtureStar(tune(spark), sf_dir)
+    return etl.upsert_clientes(star, read_table(spark, sf_dir, "orders"))
+
+
+def _load_queries() -> dict[str, Query]:
+    runs = [
+        loading.api_execucoes, loading.dash_historico, loading.dash_execucoes_recentes,
+        loading.api_rejeicoes, loading.entity_report, loading.dash_taxa_ultima_execucao,
+    ]
+    rejects = [loading.dash_rejeitados, loading.dash_rejeicoes_motivo]
+    checks = [
+        etl.dq_checks, etl.dq_resumo, etl.dq_integridade_validos, etl.dq_predicados,
+        etl.dq_datas_ilegiveis, etl.src_row_hash, etl.x_fk_reject,
+    ]
+    return {
+        **{f"etl_{n}_validos": _on_raw(etl.etl_valid, n) for n in ENTITIES},
+        **{f"etl_{n}_rejeitados": _on_raw(etl.etl_rejected, n) for n in ENTITIES},
+        **{plan.__name__: _on_runs(plan) for plan in runs},
+        **{plan.__name__: _on_rejects(plan) for plan in rejects},
+        **{plan.__name__: _on_raw(plan) for plan in checks},
+        "dash_qualidade_kpis": _on_raw(_quality_kpis),
+        "etl_movimentacoes_voto": _on_raw(etl.dates_by_vote, "movimentacoes_estoque"),
+        "dq_integridade": _on_star(referential_checks),
+        "verificacao_carga": _on_star(etl.verificacao_carga),
+        "calendario_pedidos": _on_star(etl.calendario_pedidos),
+        "upsert_clientes": _merged_customers,
+    }
+
+
 def queries() -> dict[str, Query]:
-    return _star_queries()
+    return {**_star_queries(), **_load_queries()}

@@ -53,7 +53,7 @@ def _physical_id() -> Column:
 class RawFixture:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self._dir = sf_dir
+        self.folder = sf_dir
 
     def extract(self, name: str) -> DataFrame:
         """Text rows of one entity with run id and row id, null tokens applied."""
@@ -62,12 +62,12 @@ class RawFixture:
         return null_tokens(rows.select(*columns, "_pipeline_run_id", "_row_id"), columns)
 
     def _read(self, name: str) -> DataFrame:
-        table = read_table(self.spark, self._dir, name)
+        table = read_table(self.spark, self.folder, name)
         return table.select("*", _physical_id().alias("_row_id"))
 
     def _nations(self) -> DataFrame:
         # 25 nations at every scale factor.
-        nation = read_table(self.spark, self._dir, "nation")
+        nation = read_table(self.spark, self.folder, "nation")
         return F.broadcast(nation.select("n_nationkey", "n_name"))
 
     def _produtos(self) -> DataFrame:
