@@ -533,7 +533,17 @@ MISC = {
         GROUP BY 1""",
 }
 
+STREAMS = {
+    "st_ingestao_pedidos": _valid("pedidos_venda"),
+    "st_saldo_produto": f"""
+        SELECT l_partkey AS cod_produto, count(*) AS movimentos,
+               {dbl("sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE -1 END * CAST(l_quantity AS DECIMAL(12,2)))")}
+                   AS saldo_atual
+        FROM lineitem GROUP BY 1""",
+}
+
 QUERIES = {
+    **STREAMS,
     **{f"etl_{n}_validos": _valid(n) for n in RAW},
     **{f"etl_{n}_rejeitados": _rejected(n) for n in RAW},
     **LOGS,

@@ -221,7 +221,10 @@ def judge(raw: DataFrame, name: str, date_mode: str = "per_value") -> DataFrame:
     )
 
 
-def valid_rows(judged: DataFrame, name: str, loaded_at: Column | None = None) -> DataFrame:
+def valid_rows(
+    judged: DataFrame, name: str, loaded_at: Column | None = None, keep: list[str] | None = None
+) -> DataFrame:
+    """Accepted rows in the target's columns, plus any of ``keep`` the rows carry."""
     rule_set = rule_sets()[name]
     good = judged.filter(F.col("_reject_reason").isNull())
     stamped = rule_set.derive(good).withColumns(
@@ -230,7 +233,8 @@ def valid_rows(judged: DataFrame, name: str, loaded_at: Column | None = None) ->
             "_is_active": F.lit(1),
         }
     )
-    return stamped.select(*rule_set.entity.schema.names)
+    extra = [c for c in keep or [] if c in judged.columns]
+    return stamped.select(*rule_set.entity.schema.names, *extra)
 
 
 def rejected_rows(judged: DataFrame, name: str) -> DataFrame:

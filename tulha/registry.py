@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tulha.model import ENTITIES
 from tulha.operators.quality import referential_checks
-from tulha.plans import api, dashboard, etl, exercises, forecast, loading, reports, views
+from tulha.plans import (
+    api, dashboard, etl, exercises, forecast, loading, reports, streams, views,
+)
 from tulha.session import tune
 from tulha.sources.fixture import AS_OF, FixtureStar, read_table
 from tulha.sources.raw_fixture import RawFixture
@@ -79,6 +81,10 @@ def _merged_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return etl.upsert_clientes(star, read_table(spark, sf_dir, "orders"))
 
 
+def _tuned(query: Query) -> Query:
+    return lambda spark, sf_dir: query(tune(spark), sf_dir)
+
+
 def _load_queries() -> dict[str, Query]:
     runs = [
         loading.api_execucoes, loading.dash_historico, loading.dash_execucoes_recentes,
@@ -101,6 +107,8 @@ def _load_queries() -> dict[str, Query]:
         "verificacao_carga": _on_star(etl.verificacao_carga),
         "calendario_pedidos": _on_star(etl.calendario_pedidos),
         "upsert_clientes": _merged_customers,
+        "st_ingestao_pedidos": _tuned(streams.st_ingestao_pedidos),
+        "st_saldo_produto": _tuned(streams.st_saldo_produto),
     }
 
 
