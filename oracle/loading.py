@@ -135,6 +135,16 @@ RAW = {
         FROM lineitem""",
 }
 
+LINE_ORDER = (
+    "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_returnflag, l_linestatus, l_shipdate"
+)
+# Keys that repeat in the source; every other key is unique there.
+REPEATED = {
+    "itens_pedido_venda": "l_orderkey, l_linenumber",
+    "movimentacoes_estoque": "l_orderkey, l_linenumber",
+    "itens_pedido_compra": "l_suppkey, strftime(l_shipdate, '%Y%m'), l_orderkey, l_linenumber",
+}
+
 # entity -> columns with kinds, key, NOT NULL column, rules
 ENTITIES = {
     "produtos": (
@@ -237,18 +247,16 @@ def _typed(c: str, kind: str, formats: list[str] = FORMATS) -> str:
 
 
 def _judged(name: str, source: str) -> str:
-    columns, (_, key, required, rules, _) = _columns(name), ENTITIES[name]
+    _, _, required, rules, _ = ENTITIES[name]
     broken = ", ".join(f"CASE WHEN {bad} THEN '{n}' END" for n, bad in rules)
     detail = f"concat_ws(',', {broken})" if rules else "''"
     absent = f"{required} IS NULL" if required else "false"
-    order = ", ".join(f"{c} NULLS FIRST" for c in columns)
-    rank = f"row_number() OVER (PARTITION BY {key} ORDER BY {order})" if key else "1"
     return f"""
         SELECT *, CASE WHEN rn > 1 THEN 'DUPLICATE_KEY' WHEN {absent} THEN 'NOT_NULL'
                        WHEN quebras <> '' THEN 'BUSINESS_RULE_VIOLATION' END AS motivo,
                CASE WHEN rn > 1 THEN '' WHEN {absent} THEN '{required}_ausente'
                     ELSE quebras END AS detalhe
-        FROM (SELECT *, {rank} AS rn, {detail} AS quebras FROM {source})"""
+        FROM (SELECT *, {detail} AS quebras FROM {source})"""
 
 
 TABLES: dict[str, str] = {}
@@ -256,8 +264,13 @@ for _name, _sql in RAW.items():
     _cols = _columns(_name)
     _nulls = ", ".join(f"CASE WHEN {c} NOT IN {TOKENS} THEN {c} END AS {c}" for c in _cols)
     _types = ", ".join(_typed(c, k) for c, k in _cols.items())
-    TABLES[f"bruto_{_name}"] = f"SELECT {_nulls}, run FROM ({_sql})"
-    TABLES[f"limpo_{_name}"] = f"SELECT {_types}, run FROM bruto_{_name}"
+    if _name in REPEATED:
+        _rank = f"row_number() OVER (PARTITION BY {REPEATED[_name]} ORDER BY {LINE_ORDER}) AS rn"
+        _sql = _sql.replace("AS run", f"AS run, {_rank}")
+    else:
+        _sql = _sql.replace("AS run", "AS run, 1 AS rn")
+    TABLES[f"bruto_{_name}"] = f"SELECT {_nulls}, run, rn FROM ({_sql})"
+    TABLES[f"limpo_{_name}"] = f"SELECT {_types}, run, rn FROM bruto_{_name}"
     TABLES[f"julgado_{_name}"] = _judged(_name, f"limpo_{_name}")
 
 
@@ -444,7 +457,7 @@ _voted = [
     if c == "data_mov" else _typed(c, k)
     for c, k in _columns("movimentacoes_estoque").items()
 ]
-TABLES["limpo_voto"] = f"SELECT {', '.join(_voted)}, run FROM bruto_movimentacoes_estoque"
+TABLES["limpo_voto"] = f"SELECT {', '.join(_voted)}, run, rn FROM bruto_movimentacoes_estoque"
 TABLES["julgado_voto"] = _judged("movimentacoes_estoque", "limpo_voto")
 
 CHECKS = {

@@ -21,9 +21,27 @@ def _col(c: Column | str) -> Column:
 
 
 # --- parsing -----------------------------------------------------------------
+_DATE_FIELDS = {"%Y": r"(\d{4})", "%m": r"(\d{1,2})", "%d": r"(\d{1,2})"}
+
+
+def _read_date(c: Column, layout: str) -> Column:
+    """Date of a text value in one layout of %Y, %m and %d; null when it does not fit.
+
+    The shape is tested first and the value then put in ISO order for the fast
+    built-in cast. A pattern parser would raise and swallow an exception for
+    every value in another layout, which costs far more than reading it.
+    """
+    shape, places = "^" + layout + "$", {}
+    for place, name in enumerate(sorted(_DATE_FIELDS, key=layout.index), start=1):
+        shape = shape.replace(name, _DATE_FIELDS[name])
+        places[name] = place
+    iso = f"${places['%Y']}-${places['%m']}-${places['%d']}"
+    return F.when(c.rlike(shape), F.regexp_replace(c, shape, iso).try_cast("date"))
+
+
 def parse_date(c: Column | str, formats: list[str] = DATE_FORMATS) -> Column:
     """Date of a text value, each value tried against every format in turn."""
-    return F.coalesce(*[F.try_to_date(_col(c), f) for f in formats])
+    return F.coalesce(*[_read_date(_col(c), f) for f in formats])
 
 
 def parse_number(c: Column | str) -> Column:

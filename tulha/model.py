@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 # --- Fixed values (must equal the source system's) ---------------------------
 NULL_TOKENS = ["", "NULL", "null", "N/A", "NA", "NaN"]
-# yyyy-mm-dd, dd/mm/yyyy, yyyy/mm/dd, dd-mm-yyyy, in this order of preference
-DATE_FORMATS = ["yyyy-M-d", "d/M/yyyy", "yyyy/M/d", "d-M-yyyy"]
+# In this order of preference
+DATE_FORMATS = ["%Y-%m-%d", "%d/%m/%Y", "%Y/%m/%d", "%d-%m-%Y"]
 UNIDADES = ["UN", "CX", "RS", "LI", "KG", "MT", "PC"]
 STATUS_VENDA = [
     "PROCESSANDO", "EM_SEPARACAO", "ENTREGUE", "CANCELADO", "AGUARDANDO_APROVACAO", "DEVOLVIDO",

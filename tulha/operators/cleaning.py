@@ -27,10 +27,13 @@ def null_tokens(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     )
 
 
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+
+
 def trim_text(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
-            f.name: F.regexp_replace(f.name, r"^\s+|\s+$", "")
+            f.name: F.btrim(f.name, F.lit(BLANKS))
             for f in df.schema
             if isinstance(f.dataType, T.StringType) and not f.name.startswith("_")
         }
@@ -45,7 +48,7 @@ def voted_formats(df: DataFrame, columns: list[str]) -> dict[str, str]:
     row of counts comes back to the driver.
     """
     counts = [
-        F.count(F.try_to_date(c, f)).alias(f"{c}|{i}")
+        F.count(parse_date(c, [f])).alias(f"{c}|{i}")
         for c in columns
         for i, f in enumerate(DATE_FORMATS)
     ]

@@ -249,13 +249,11 @@ def api_anomalias(
     else:
         spread = F.col("q") - F.col("s") * F.col("s") / F.col("n")
     degrees = F.when(F.col("n") > 1, F.col("n") - 1)
-    measures = stats.select(mean.alias("mean"), F.sqrt(spread / degrees).alias("sd"))
-    score = half_up(
-        ratio(
-            F.abs(dbl("valor") - measures.select("mean").scalar()), measures.select("sd").scalar()
-        ),
-        2,
-    )
+    # One row, one subquery for both figures.
+    measure = stats.select(
+        F.struct(mean.alias("mean"), F.sqrt(spread / degrees).alias("sd"))
+    ).scalar()
+    score = half_up(ratio(F.abs(dbl("valor") - measure["mean"]), measure["sd"]), 2)
     names = star.table("dim_clientes", "cod_cliente", "razao_social")
     return (
         values.filter(kept)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tulha.model import ENTITIES
 from tulha.operators.cleaning import null_tokens
-from tulha.sources.fixture import read_table
+from tulha.sources.fixture import LINE_ORDER, read_table
 
 FIRST_RUN = "RUN_199501"
 
@@ -59,11 +59,13 @@ class RawFixture:
         """Text rows of one entity with run id and row id, null tokens applied."""
         rows = getattr(self, f"_{name}")()
         columns = list(ENTITIES[name].columns)
-        return null_tokens(rows.select(*columns, "_pipeline_run_id", "_row_id"), columns)
+        return null_tokens(rows.select(*columns, "_pipeline_run_id", "_row_id", "_ord"), columns)
 
     def _read(self, name: str) -> DataFrame:
+        """A table with row ids, and with the order that decides which repeat is first."""
         table = read_table(self.spark, self.folder, name)
-        return table.select("*", _physical_id().alias("_row_id"))
+        order = F.struct(*LINE_ORDER) if name == "lineitem" else _physical_id()
+        return table.select("*", _physical_id().alias("_row_id"), order.alias("_ord"))
 
     def _nations(self) -> DataFrame:
         # 25 nations at every scale factor.
@@ -94,6 +96,7 @@ class RawFixture:
             F.concat(F.lit("FOR"), _text(k % 100)).alias("cod_fornecedor_principal"),
             F.lit(FIRST_RUN).alias("_pipeline_run_id"),
             "_row_id",
+            "_ord",
         )
 
     def _clientes(self) -> DataFrame:
@@ -125,6 +128,7 @@ class RawFixture:
             _day(since, k).alias("data_cadastro"),
             F.lit(FIRST_RUN).alias("_pipeline_run_id"),
             "_row_id",
+            "_ord",
         )
 
     def _fornecedores(self) -> DataFrame:
@@ -143,6 +147,7 @@ class RawFixture:
             F.lit("1").alias("ativo"),
             F.lit(FIRST_RUN).alias("_pipeline_run_id"),
             "_row_id",
+            "_ord",
         )
 
     def _pedidos_venda(self) -> DataFrame:
@@ -169,6 +174,7 @@ class RawFixture:
             F.col("o_orderpriority").alias("observacao"),
             _run(day).alias("_pipeline_run_id"),
             "_row_id",
+            "_ord",
         )
 
     def _itens_pedido_venda(self) -> DataFrame:
@@ -185,6 +191,7 @@ class RawFixture:
             F.when(percent == 0, "N/A").otherwise(_text(percent)).alias("desconto_item_percentual"),
             _run(F.col("l_shipdate")).alias("_pipeline_run_id"),
             "_row_id",
+            "_ord",
         )
 
     def _pedidos_compra(self) -> DataFrame:
@@ -217,6 +224,7 @@ class RawFixture:
             F.lit("").alias("observacao"),
             _run(F.col("_day")).alias("_pipeline_run_id"),
             F.struct(number.alias("num_oc")).alias("_row_id"),
+            number.alias("_ord"),
         )
 
     def _itens_pedido_compra(self) -> DataFrame:
@@ -231,6 +239,7 @@ class RawFixture:
             .alias("custo_unitario"),
             _run(F.col("l_shipdate")).alias("_pipeline_run_id"),
             "_row_id",
+            "_ord",
         )
 
     def _movimentacoes_estoque(self) -> DataFrame:
@@ -260,4 +269,5 @@ class RawFixture:
             F.lit("").alias("observacao"),
             _run(day).alias("_pipeline_run_id"),
             "_row_id",
+            "_ord",
         )
