@@ -62,12 +62,15 @@ def null_checks(df: DataFrame, entity: str) -> DataFrame:
     columns = business_columns(df)
     counts = df.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in columns],
+        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_nulls_{c}") for c in columns],
     )
     pairs = F.explode(
         F.array(
             *[
-                F.struct(F.lit(f"null_check:{c}").alias("check_name"), F.col(c).alias("failed_rows"))
+                F.struct(
+                    F.lit(f"null_check:{c}").alias("check_name"),
+                    F.col(f"`_nulls_{c}`").alias("failed_rows"),
+                )
                 for c in columns
             ]
         )
@@ -85,10 +88,11 @@ def null_checks(df: DataFrame, entity: str) -> DataFrame:
 
 def duplicate_check(df: DataFrame, entity: str) -> DataFrame:
     """Repeats of whole rows after the first; copies are counted on the map side."""
-    copies = df.groupBy(*business_columns(df)).agg(F.count(F.lit(1)).alias("n"))
+    names = [f"`{c}`" for c in business_columns(df)]
+    copies = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
     rows = copies.agg(
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("failed_rows"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("failed_rows"),
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
     )
     failed, total = F.col("failed_rows"), F.col("total_rows")
     status = (

@@ -6,33 +6,34 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+def _files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    return reader.option("pathGlobFilter", pattern).load(folder)
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """Name, bytes and modification time; file contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .select(
-            F.element_at(F.split("path", "/"), -1).alias("arquivo"),
-            F.col("length").alias("tamanho_bytes"),
-            F.col("modificationTime").alias("modificado_em"),
-        )
+    """Name, bytes and modification time of files with content; contents are not read."""
+    return _files(spark, folder, pattern).select(
+        F.element_at(F.split("path", "/"), -1).alias("arquivo"),
+        F.col("length").alias("tamanho_bytes"),
+        F.col("modificationTime").alias("modificado_em"),
     )
 
 
 def missing_files(spark: SparkSession, folder: str, expected: list[str]) -> DataFrame:
-    """Expected files that are absent or empty, with the reason."""
-    wanted = spark.createDataFrame([(name,) for name in expected], "arquivo string")
+    """Expected files that are absent or empty, with the reason.
+
+    Scans skip empty files, the listing does not: the two tell empty from absent.
+    Only the expected names are listed.
+    """
+    only_expected = "{" + ",".join(expected) + "}"
     try:
-        found = list_files(spark, folder, "*").select("arquivo", "tamanho_bytes")
+        listed = [p.rsplit("/", 1)[-1] for p in _files(spark, folder, only_expected).inputFiles()]
+        filled = list_files(spark, folder, only_expected).select("arquivo")
     except AnalysisException:
-        found = spark.createDataFrame([], "arquivo string, tamanho_bytes long")
-    return (
-        wanted.join(found, "arquivo", "left")
-        .filter(F.coalesce("tamanho_bytes", F.lit(0)) == 0)
-        .select(
-            "arquivo",
-            F.when(F.col("tamanho_bytes").isNull(), "ausente").otherwise("vazio").alias("motivo"),
-        )
+        listed, filled = [], spark.createDataFrame([], "arquivo string")
+    wanted = spark.createDataFrame(
+        [(name, "vazio" if name in listed else "ausente") for name in expected],
+        "arquivo string, motivo string",
     )
+    return wanted.join(filled, "arquivo", "left_anti")
