@@ -79,7 +79,7 @@ def test_landing_checks(spark, landing):
     (landing / "vazio.csv").write_text("")
     found = {tuple(r) for r in missing_files(spark, str(landing), ["vazio.csv", "outro.csv", "produtos.csv"]).collect()}
     assert found == {("vazio.csv", "vazio"), ("outro.csv", "ausente")}
-    assert list_files(spark, str(landing)).count() == 9
+    assert list_files(spark, str(landing)).count() == 8  # files with content only
 
 
 def test_load_all(spark, landing, tmp_path):
