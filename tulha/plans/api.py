@@ -100,8 +100,7 @@ def api_vendas_lista(
     # At most 500 rows by the check above.
     page = F.broadcast(orders.orderBy(*newest).limit(limit))
     lines = (
-        star.table("fct_itens_pedido_venda", "num_pedido", "valor_total_item")
-        .join(page.select("num_pedido"), "num_pedido", "left_semi")
+        star.lines_of(page, "num_pedido", "valor_total_item")
         .groupBy("num_pedido")
         .agg(F.sum("valor_total_item").cast("decimal(24,2)").alias("bruto"))
     )

@@ -130,8 +130,12 @@ class FixtureStar:
             (key % 6).cast("decimal(5,2)").alias("desconto_percentual"),
         )
 
-    def _lines(self) -> DataFrame:
+    def _lines(self, orders: DataFrame | None = None) -> DataFrame:
         raw = self._read("lineitem").select("l_orderkey", "l_linenumber", *LINE_ORDER)
+        if orders is not None:
+            # Before the keep-first exchange: whole orders stay or go.
+            keys = orders.select(F.col("num_pedido").alias("l_orderkey"))
+            raw = raw.join(keys, "l_orderkey", "left_semi")
         first = keep_first(raw, ["l_orderkey", "l_linenumber"], LINE_ORDER)
         return first.withColumns(
             {
@@ -140,10 +144,15 @@ class FixtureStar:
             }
         )
 
-    def _fct_itens_pedido_venda(self, wanted: set[str]) -> DataFrame:
+    def lines_of(self, orders: DataFrame, *columns: str) -> DataFrame:
+        return self._fct_itens_pedido_venda(set(columns), orders).select(*columns)
+
+    def _fct_itens_pedido_venda(
+        self, wanted: set[str], orders: DataFrame | None = None
+    ) -> DataFrame:
         gross = F.col("l_extendedprice").cast("decimal(14,2)")
         off = F.col("l_discount").cast("decimal(5,2)")
-        return self._lines().select(
+        return self._lines(orders).select(
             F.col("l_orderkey").alias("num_pedido"),
             F.col("l_linenumber").alias("seq_item"),
             F.col("l_partkey").alias("cod_produto"),

@@ -14,6 +14,10 @@ class Star(Protocol):
 
     def table(self, name: str, *columns: str) -> DataFrame: ...
 
+    def lines_of(self, orders: DataFrame, *columns: str) -> DataFrame:
+        """Sales lines of the orders in ``orders`` (one row per num_pedido)."""
+        ...
+
 
 class FrameStar:
     """Star over given DataFrames (loaded warehouse tables, catalog tables, tests)."""
@@ -26,6 +30,10 @@ class FrameStar:
         frame = self._frames[name]
         return frame.select(*columns) if columns else frame
 
+    def lines_of(self, orders: DataFrame, *columns: str) -> DataFrame:
+        lines = self.table("fct_itens_pedido_venda", *columns)
+        return lines.join(orders.select("num_pedido"), "num_pedido", "left_semi")
+
 
 def catalog_star(spark: SparkSession, names: list[str], schema: str | None = None) -> FrameStar:
     """Star over tables registered in the session catalog."""
