@@ -185,3 +185,18 @@ def test_every_row_lands_on_one_side(spark, folder):
         rows = raw.extract(name)
         counts = counts_by_run(judge(rows, name), name).groupBy().sum().first()
         assert counts[0] == rows.count() == counts[1] + counts[2]
+
+
+def test_omitted_columns_take_defaults_but_nulls_stay(spark):
+    columns = [c for c in ENTITIES["produtos"].columns if c not in ("ativo", "estoque_minimo")]
+    row = {**BASE["produtos"], "estoque_maximo": None}
+    raw = spark.createDataFrame([[row[c] for c in columns]], ", ".join(f"{c} string" for c in columns))
+    found = transform(raw.coalesce(1), "produtos").valid.first()
+    assert (found["ativo"], found["estoque_minimo"], found["estoque_maximo"]) == (1, 0, None)
+
+
+def test_source_names_are_standardised(spark):
+    names = [f" {c.replace('_', ' ').upper()} " for c in ENTITIES["fornecedores"].columns]
+    raw = spark.createDataFrame([list(BASE["fornecedores"].values())], names)
+    assert transform(raw.coalesce(1), "fornecedores").valid.first()["razao_social"] == "Fabrica"
+

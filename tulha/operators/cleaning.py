@@ -83,11 +83,17 @@ def to_types(df: DataFrame, entity: Entity, date_mode: str = "per_value") -> Dat
 
 
 def clean(df: DataFrame, entity: Entity, date_mode: str = "per_value") -> DataFrame:
-    """Names, types and text of one entity, in that order."""
+    """Names, types and text of one entity, in that order.
+
+    A column the source omits takes its default; an empty value stays null.
+    """
     named = standardize_names(df)
     missing = [c for c in entity.columns if c not in named.columns]
     if missing:
-        named = named.withColumns({c: F.lit(None).cast("string") for c in missing})
+        default = {c: entity.defaults.get(c) for c in missing}
+        named = named.withColumns(
+            {c: F.lit(None if v is None else str(v)).cast("string") for c, v in default.items()}
+        )
     return trim_text(to_types(named, entity, date_mode))
 
 

@@ -237,6 +237,11 @@ def valid_rows(
     return stamped.select(*rule_set.entity.schema.names, *extra)
 
 
+def accepted(raw: DataFrame, name: str) -> DataFrame:
+    """Judged rows of one entity that passed."""
+    return judge(raw, name).filter(F.col("_reject_reason").isNull())
+
+
 def rejected_rows(judged: DataFrame, name: str) -> DataFrame:
     entity = ENTITIES[name]
     kept = [c for c in LINEAGE if c in judged.columns]

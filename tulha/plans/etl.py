@@ -13,7 +13,7 @@ from tulha.operators.quality import (
     ends_before_start, orphan_check, out_of_domain, out_of_range, predicate_checks, run_checks,
     summary,
 )
-from tulha.operators.rules import judge, rejected_rows, valid_rows
+from tulha.operators.rules import accepted, judge, rejected_rows, valid_rows
 from tulha.plans.loading import union_all
 from tulha.sources.csv_files import row_hash
 from tulha.sources.fixture import read_table
@@ -29,7 +29,7 @@ def decimals_as_double(df: DataFrame) -> DataFrame:
 
 
 def etl_valid(raw: RawFixture, name: str) -> DataFrame:
-    good = valid_rows(judge(raw.extract(name), name), name)
+    good = valid_rows(accepted(raw.extract(name), name), name)
     return decimals_as_double(good.drop("_dw_loaded_at", "_is_active"))
 
 
@@ -63,9 +63,7 @@ def dq_resumo(raw: RawFixture) -> DataFrame:
 
 def dq_integridade_validos(raw: RawFixture) -> DataFrame:
     """References between accepted rows: a rejected parent leaves orphans."""
-    accepted = {
-        n: judge(raw.extract(n), n).filter(F.col("_reject_reason").isNull()) for n in CHECKED
-    }
+    passed = {n: accepted(raw.extract(n), n) for n in CHECKED}
     keys = [
         ("pedidos_venda", "cod_cliente", "clientes"),
         ("itens_pedido_venda", "num_pedido", "pedidos_venda"),
@@ -73,7 +71,7 @@ def dq_integridade_validos(raw: RawFixture) -> DataFrame:
     ]
     return union_all(
         [
-            orphan_check(accepted[child], column, accepted[parent], column, f"fct_{child}")
+            orphan_check(passed[child], column, passed[parent], column, f"fct_{child}")
             for child, column, parent in keys
         ]
     )
@@ -171,13 +169,11 @@ def calendario_pedidos(star: Star) -> DataFrame:
 
 def x_fk_reject(raw: RawFixture) -> DataFrame:
     """Accepted sales lines of products that were rejected, summed per product."""
-    lines = judge(raw.extract("itens_pedido_venda"), "itens_pedido_venda")
-    products = judge(raw.extract("produtos"), "produtos")
+    lines = accepted(raw.extract("itens_pedido_venda"), "itens_pedido_venda")
+    products = accepted(raw.extract("produtos"), "produtos")
     value = F.round(F.col("quantidade") * F.col("preco_unitario"), 2)
     per_product = (
-        lines.filter(F.col("_reject_reason").isNull())
-        .groupBy("cod_produto")
+        lines.groupBy("cod_produto")
         .agg(F.count(F.lit(1)).alias("linhas"), dbl(F.sum(value)).alias("valor"))
     )
-    known = products.filter(F.col("_reject_reason").isNull()).select("cod_produto")
-    return per_product.join(known, "cod_produto", "left_anti").orderBy("cod_produto")
+    return per_product.join(products.select("cod_produto"), "cod_produto", "left_anti").orderBy("cod_produto")
