@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tulha.llm import language, neighbours, packing, quality, secrets, simhash, toxicity
+from tulha.llm import (
+    decontaminate, language, neighbours, packing, quality, repeats, secrets, simhash, toxicity,
+)
 from tulha.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +30,15 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontaminate.matches(docs, items)
+
+
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.report(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,8 +57,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     own = (
-        op1_secrets, op2_language, op4_simhash, op7_toxicity, op8_packing, op9_neighbours,
-        op10_quality,
+        op1_secrets, op2_language, op4_simhash, op5_decontamination, op6_repeats, op7_toxicity,
+        op8_packing, op9_neighbours, op10_quality,
     )
     return {f.__name__: f for f in own}
 
