@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tulha.llm import (
-    decontaminate, language, neighbours, packing, quality, repeats, secrets, simhash, toxicity,
+    decontaminate, language, neighbours, packing, pii, quality, repeats, secrets, simhash, toxicity,
 )
 from tulha.llm.common import table
 
@@ -23,6 +23,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(table(spark, sf_dir, "documents"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -57,8 +61,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     own = (
-        op1_secrets, op2_language, op4_simhash, op5_decontamination, op6_repeats, op7_toxicity,
-        op8_packing, op9_neighbours, op10_quality,
+        op1_secrets, op2_language, op3_personal_data, op4_simhash, op5_decontamination,
+        op6_repeats, op7_toxicity, op8_packing, op9_neighbours, op10_quality,
     )
     return {f.__name__: f for f in own}
 
