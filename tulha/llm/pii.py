@@ -59,7 +59,7 @@ LONGEST = 6
 ISLAND = 64
 SAMPLE = 2000
 SAMPLE_TEXTS = 20_000
-ROUNDS = 12
+ROUNDS = 20
 RATE = 0.5
 DECAY = 1e-3
 #: Log odds by which an added segment must beat the reading as no personal data.
@@ -149,7 +149,7 @@ def describe(text: str, island: list[Token], first: int, last: int) -> list[str]
         f"wide={any(c.isspace() and c != ' ' for c in span)}",
     ]
     if len(digits) >= 9:
-        out.append(f"luhn={luhn(digits)}")
+        out.append(f"luhn={luhn(digits)} {12 <= len(digits) <= 19} {letters == 0}")
     parts = span.split(".")
     if len(parts) == 4 and not letters:
         out.append(f"quad={all(p.isdecimal() and p.isascii() and len(p) <= 3 and int(p) <= 255 for p in parts)}")
@@ -294,7 +294,8 @@ def train(docs: DataFrame) -> Model | None:
         names = sorted(model.numbers, key=model.numbers.get)
         return pd.DataFrame({"name": names, "w": model.weights.T.tolist()})
 
-    found = sample.groupBy(F.lit(1)).applyInPandas(learn, "name string, w array<double>").collect()
+    one = sample.select("island", F.lit(1).alias("one")).groupBy("one")
+    found = one.applyInPandas(learn, "name string, w array<double>").collect()
     if not found:
         return None
     weights = np.array([r["w"] for r in found]).T

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tulha.llm import (
     decontaminate, language, neighbours, packing, pii, quality, repeats, secrets, simhash, toxicity,
 )
@@ -64,7 +65,7 @@ def queries() -> dict[str, Query]:
         op1_secrets, op2_language, op3_personal_data, op4_simhash, op5_decontamination,
         op6_repeats, op7_toxicity, op8_packing, op9_neighbours, op10_quality,
     )
-    return {f.__name__: f for f in own}
+    return {**{f.__name__: f for f in own}, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -33,7 +33,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tulha.llm.common import column_list, map_batches, stored, texts_of
@@ -67,17 +67,24 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed long) of every row."""
+    """doc_id, key (a hash of id and text) and fp (the 64 bits, signed) of every row."""
 
     def work(batch: pa.RecordBatch) -> dict:
         found = [fingerprint(t, shingle) for t in texts_of(batch)]
         return {
             "doc_id": column_list(batch, "doc_id"),
+            "key": column_list(batch, "key"),
             "fp": np.array(found, np.uint64).view(np.int64),
         }
 
     kind = dict(docs.dtypes)["doc_id"]
-    return map_batches(docs.select("doc_id", "text"), f"doc_id {kind}, fp bigint", work)
+    rows = docs.select("doc_id", "text", row_key().alias("key"))
+    return map_batches(rows, f"doc_id {kind}, key bigint, fp bigint", work)
+
+
+def row_key() -> Column:
+    """Rows with the same id and text have the same key."""
+    return F.xxhash64("doc_id", "text")
 
 
 class BKTree:
@@ -226,7 +233,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fp and component_id of every row; see the module."""
+    """doc_id, key, fp, component_id and root (the component's fingerprint) of every row."""
     rows = stored(fingerprints(docs), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     linked = components(links(classes)).withColumnRenamed("node", "fp").join(classes, "fp")
@@ -234,9 +241,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         linked.groupBy("root").agg(F.min("least").alias("reached")), "root"
     )
     roots = roots.select("root", F.least("least", "reached").alias("component_id"))
-    inner = linked.join(roots, "root").select("fp", "component_id")
-    whole = roots.withColumnRenamed("root", "fp").unionByName(inner)
+    inner = linked.join(roots, "root").select("fp", "root", "component_id")
+    whole = roots.select(F.col("root").alias("fp"), "root", "component_id").unionByName(inner)
     named = classes.join(whole, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least").alias("component_id")
+        "fp",
+        F.coalesce("component_id", "least").alias("component_id"),
+        F.coalesce("root", "fp").alias("root"),
     )
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(named, "fp").select("doc_id", "key", "fp", "component_id", "root")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each component, with all its columns: the smallest id (null ids last),
+    then the smallest key; of equal rows one."""
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    kept = near_duplicates(docs).groupBy("root").agg(F.min(order).alias("k"))
+    kept = kept.select(F.col("k.key").alias("_key")).distinct()
+    rows = docs.withColumn("_key", row_key()).join(kept, "_key", "left_semi")
+    return rows.dropDuplicates(["_key", "doc_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])
