@@ -102,7 +102,7 @@ def test_whole_table(spark):
 
 
 def test_field_learns_kinds(spark):
-    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
     model = pii.train(docs)
     text = "or 10.20.30.41 and me.99@mail3.example.com to +1 (212) 555-0199 is 4485275742308327 x"
     found = [s for island in pii.islands(text) for s in model.decode(text, island)]

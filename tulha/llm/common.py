@@ -6,6 +6,7 @@ small, and a text is cut into slices before any array is built from it.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
@@ -16,13 +17,21 @@ from pyspark.sql import functions as F
 
 from tulha.session import scratch_path
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 SLICE = 1 << 20  # code points turned into arrays at a time
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches: at most 256 rows (and 16 MB where Spark can count bytes)."""
+    """Small Arrow batches, 256 rows or 16 MB; workers that see this folder import from it.
+
+    A cluster whose machines do not see the folder gets the package by ``--py-files``.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "256")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    given = spark.sparkContext.environment
+    paths = given.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        given["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
     return spark
 
 

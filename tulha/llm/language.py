@@ -4,8 +4,8 @@ A text becomes a vector of hashed letter n-grams (one to three letters, runs of
 characters read as one gap): square-rooted counts times inverse document frequency,
 scaled to length one. Each language has up to ``CLUSTERS`` centroids; a text takes the
 language of the centroid with the largest cosine. It is rejected where that cosine is
-below the floor of the language: ``FLOOR`` times the smallest cosine that the thousandth
-part of the training sample has.
+below the floor of the language: ``FLOOR`` times the cosine that all but a thousandth of
+the training sample reach, at most ``CEILING``, so that short clean texts stay.
 
 Training reads whole texts of all learnable rows once: document frequencies cover all of
 them, added up per task; the clustering gets a sample of at most about ``SAMPLE`` rows
@@ -39,6 +39,7 @@ DIMS = 4096
 CLUSTERS = 4
 SAMPLE = 1000
 FLOOR = 0.5
+CEILING = 0.15
 UNKNOWN = "und"
 FOLD = (4, 2)  # modulus and held-out remainder
 
@@ -167,6 +168,7 @@ def train(docs: DataFrame) -> Model:
             return pd.DataFrame({"lang": [], "v": [], "floor": []})
         centers = clustered(vectors, CLUSTERS)
         floor = FLOOR * float(np.quantile((vectors @ centers.T).max(axis=1), 0.001))
+        floor = min(floor, CEILING)
         return pd.DataFrame(
             {"lang": group["lang"].iloc[0], "v": [c.tolist() for c in centers], "floor": floor}
         )

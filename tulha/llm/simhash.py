@@ -256,6 +256,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     then the smallest key; of equal rows one."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     kept = near_duplicates(docs).groupBy("root").agg(F.min(order).alias("k"))
-    kept = kept.select(F.col("k.key").alias("_key")).distinct()
-    rows = docs.withColumn("_key", row_key()).join(kept, "_key", "left_semi")
-    return rows.dropDuplicates(["_key", "doc_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = kept.select(F.col("k.key").alias("key")).distinct()
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(whole, F.col("doc_id").alias("id"), row_key().alias("key"))
+    rows = rows.join(kept, "key", "left_semi").dropDuplicates(["key", "id"])
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
