@@ -165,7 +165,7 @@ def train(docs: DataFrame) -> Model:
         found = np.array(group["v"].tolist(), np.float32)
         vectors = scaled(np.sqrt(found[found.any(axis=1)]) * idf)
         if not len(vectors):
-            return pd.DataFrame({"lang": [], "v": [], "floor": []})
+            return pd.DataFrame({"lang": [], "v": [], "floor": []}, dtype=object)
         centers = clustered(vectors, CLUSTERS)
         floor = FLOOR * float(np.quantile((vectors @ centers.T).max(axis=1), 0.001))
         floor = min(floor, CEILING)

@@ -289,7 +289,7 @@ def train(docs: DataFrame) -> Model | None:
     def learn(group: pd.DataFrame) -> pd.DataFrame:
         examples = [json.loads(x) for x in sorted(group["island"])]
         if not any(gold for _, _, gold in examples):
-            return pd.DataFrame({"name": [], "w": []})
+            return pd.DataFrame({"name": [], "w": []}, dtype=object)
         model = fit(examples)
         names = sorted(model.numbers, key=model.numbers.get)
         return pd.DataFrame({"name": names, "w": model.weights.T.tolist()})

@@ -8,9 +8,9 @@ most about ``SAMPLE`` labelled rows, a documented bound; scoring is one pass ove
 texts without a shuffle.
 
 Defined results: null and empty texts get the score of the bias alone; without labelled
-rows to learn from every score is 0; repeated labels of
-an id count once; a null id is not held out and not learned from; an empty table gives an
-empty result; other columns are not read.
+rows to learn from every score is 0; repeated labels of an id count once; a null id is not
+held out and not learned from; an empty table gives an empty result; other columns are
+not read.
 """
 
 from __future__ import annotations
