@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -22,7 +23,10 @@ HEADLINE = [
     "previsao_demanda", "previsao_reposicao",
     "dash_kpis", "dash_receita_mensal", "dash_abc", "dash_fornecedores",
     "etl_itens_pedido_venda_validos", "etl_itens_pedido_venda_rejeitados",
-    "dq_checks", "dq_integridade", "entity_report", "upsert_clientes", "st_saldo_produto",
+    "dq_checks", "dq_integridade", "upsert_clientes", "st_saldo_produto",
+    "api_execucoes", "api_rejeicoes", "dash_historico", "dash_execucoes_recentes",
+    "dash_rejeitados", "dash_rejeicoes_motivo", "dash_qualidade_kpis", "dash_taxa_ultima_execucao",
+    "entity_report",
 ]
 
 
@@ -31,7 +35,9 @@ def main() -> None:
     from tulha.session import local_session
 
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
+    shared = f"file://{tempfile.mkdtemp(prefix='bench-')}"
+    conf = {"spark.checkpoint.dir": shared}
+    spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench", **conf)
     queries = registry.queries()
     chosen = os.environ.get("BENCH_QUERIES")
     names = list(queries) if chosen == "all" else chosen.split(",") if chosen else HEADLINE

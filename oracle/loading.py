@@ -1,5 +1,7 @@
 """Raw extracts, cleaning, rules, checks and logs, in SQL."""
 
+import re
+
 from oracle.sql import dbl, even, pct, up
 
 TOKENS = "('', 'NULL', 'null', 'N/A', 'NA', 'NaN')"
@@ -39,6 +41,7 @@ RAW = {
                     ELSE (['UN', 'CX', 'RS', 'LI', 'KG', 'MT', 'PC'])[p_partkey % 7 + 1] END AS unidade,
                CASE WHEN p_partkey % 31 = 3 THEN '0' WHEN p_partkey % 37 = 5 THEN 'N/A'
                     WHEN p_partkey % 43 = 9 THEN {_money("CAST(p_retailprice AS DECIMAL(12,2)) + 1")}
+                    WHEN p_partkey % 59 = 11 THEN '0.00004'
                     ELSE {_comma(f"CAST({_COST} AS VARCHAR)")} END AS custo_unitario,
                {_money("p_retailprice")} AS preco_venda,
                CASE WHEN p_partkey % 53 = 0 THEN 'NULL' ELSE CAST(p_size AS VARCHAR) END AS estoque_minimo,
@@ -67,7 +70,9 @@ RAW = {
                CASE WHEN s_suppkey % 33 = 5 THEN 'NaN' ELSE s_name END AS razao_social,
                lpad(CAST(s_suppkey * 7907 AS VARCHAR), 14, '0') AS cnpj, 'Geral' AS categoria,
                n_name AS cidade, n_name AS estado,
-               CASE WHEN s_suppkey % 17 = 0 THEN '1.5' ELSE CAST(s_suppkey % 21 + 1 AS VARCHAR) END
+               CASE WHEN s_suppkey % 17 = 0 THEN '1.5'
+                    WHEN s_suppkey % 19 = 0 THEN CAST(s_suppkey % 21 + 1 AS VARCHAR) || '.0'
+                    ELSE CAST(s_suppkey % 21 + 1 AS VARCHAR) END
                    AS prazo_entrega_dias,
                '1' AS ativo, 'RUN_199501' AS run
         FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey""",
@@ -242,12 +247,22 @@ def _typed(c: str, kind: str, formats: list[str] = FORMATS) -> str:
     if kind == "n":
         return f"TRY_CAST(replace({c}, ',', '.') AS DECIMAL(18,4)) AS {c}"
     if kind == "i":
-        return f"CASE WHEN regexp_full_match({c}, '[+-]?[0-9]+') THEN CAST({c} AS BIGINT) END AS {c}"
+        whole = f"CAST(split_part({c}, '.', 1) AS BIGINT)"
+        return f"CASE WHEN regexp_full_match({c}, '[+-]?[0-9]+([.]0*)?') THEN {whole} END AS {c}"
     return f"trim({c}) AS {c}"
 
 
+def _as_read(name: str) -> list[str]:
+    """Numbers before they are rounded to the stored scale, under their own names."""
+    numbers = [c for c, k in _columns(name).items() if k == "n"]
+    return [_typed(c, "n").replace("(18,4)", "(28,10)") + "_lido" for c in numbers]
+
+
 def _judged(name: str, source: str) -> str:
     _, _, required, rules, _ = ENTITIES[name]
+    for c, kind in _columns(name).items():  # rules see numbers as read
+        if kind == "n":
+            rules = [(n, re.sub(rf"\b{c}\b", f"{c}_lido", bad)) for n, bad in rules]
     broken = ", ".join(f"CASE WHEN {bad} THEN '{n}' END" for n, bad in rules)
     detail = f"concat_ws(',', {broken})" if rules else "''"
     absent = f"{required} IS NULL" if required else "false"
@@ -263,7 +278,7 @@ TABLES: dict[str, str] = {}
 for _name, _sql in RAW.items():
     _cols = _columns(_name)
     _nulls = ", ".join(f"CASE WHEN {c} NOT IN {TOKENS} THEN {c} END AS {c}" for c in _cols)
-    _types = ", ".join(_typed(c, k) for c, k in _cols.items())
+    _types = ", ".join([_typed(c, k) for c, k in _cols.items()] + _as_read(_name))
     if _name in REPEATED:
         _rank = f"row_number() OVER (PARTITION BY {REPEATED[_name]} ORDER BY {LINE_ORDER}) AS rn"
         _sql = _sql.replace("AS run", f"AS run, {_rank}")
@@ -366,14 +381,12 @@ TABLES["bruto_documentos"] = """
     FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""
 
 CHECKED = {
-    "produtos": list(_columns("produtos")),
-    "clientes": list(_columns("clientes")),
-    "pedidos_venda": list(_columns("pedidos_venda")),
-    "itens_pedido_venda": list(_columns("itens_pedido_venda")),
+    **{name: list(_columns(name)) for name in RAW},
     "documentos": ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"],
 }
 REQUIRED = {
-    "produtos": 5, "clientes": 2, "pedidos_venda": 4, "itens_pedido_venda": 5, "documentos": 3,
+    "produtos": 5, "clientes": 2, "fornecedores": 2, "pedidos_venda": 4, "itens_pedido_venda": 5,
+    "pedidos_compra": 4, "itens_pedido_compra": 5, "movimentacoes_estoque": 5, "documentos": 3,
 }
 
 
@@ -456,7 +469,7 @@ _voted = [
     f"CAST(CASE {_VOTE} ELSE try_strptime(data_mov, '{FORMATS[-1]}') END AS DATE) AS data_mov"
     if c == "data_mov" else _typed(c, k)
     for c, k in _columns("movimentacoes_estoque").items()
-]
+] + _as_read("movimentacoes_estoque")
 TABLES["limpo_voto"] = f"SELECT {', '.join(_voted)}, run, rn FROM bruto_movimentacoes_estoque"
 TABLES["julgado_voto"] = _judged("movimentacoes_estoque", "limpo_voto")
 
@@ -480,14 +493,18 @@ CHECKS = {
         _orphans("itens_compra", "cod_produto", "dim_produtos", "cod_produto", "fct_itens_pedido_compra"),
         _orphans("movimentos", "cod_produto", "dim_produtos", "cod_produto", "fct_movimentacoes_estoque"),
     ]),
-    "dq_integridade_validos": " UNION ALL ".join([
-        _orphans(_accepted("pedidos_venda"), "cod_cliente", _accepted("clientes"), "cod_cliente",
-                 "fct_pedidos_venda"),
-        _orphans(_accepted("itens_pedido_venda"), "num_pedido", _accepted("pedidos_venda"),
-                 "num_pedido", "fct_itens_pedido_venda"),
-        _orphans(_accepted("itens_pedido_venda"), "cod_produto", _accepted("produtos"),
-                 "cod_produto", "fct_itens_pedido_venda"),
-    ]),
+    "dq_integridade_validos": " UNION ALL ".join(
+        _orphans(_accepted(child), column, _accepted(parent), column, f"fct_{child}")
+        for child, column, parent in [
+            ("pedidos_venda", "cod_cliente", "clientes"),
+            ("itens_pedido_venda", "num_pedido", "pedidos_venda"),
+            ("itens_pedido_venda", "cod_produto", "produtos"),
+            ("pedidos_compra", "cod_fornecedor", "fornecedores"),
+            ("itens_pedido_compra", "num_oc", "pedidos_compra"),
+            ("itens_pedido_compra", "cod_produto", "produtos"),
+            ("movimentacoes_estoque", "cod_produto", "produtos"),
+        ]
+    ),
     "dq_predicados": _predicates("pedidos_venda", {
         "desconto_faixa": "desconto_percentual < 0 OR desconto_percentual > 100",
         "status_dominio": "status IS NULL OR status NOT IN ('PROCESSANDO','EM_SEPARACAO','ENTREGUE',"
@@ -549,10 +566,10 @@ MISC = {
 STREAMS = {
     "st_ingestao_pedidos": _valid("pedidos_venda"),
     "st_saldo_produto": f"""
-        SELECT l_partkey AS cod_produto, count(*) AS movimentos,
-               {dbl("sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE -1 END * CAST(l_quantity AS DECIMAL(12,2)))")}
+        SELECT cod_produto, count(*) AS movimentos,
+               {dbl("sum(CASE WHEN tipo_mov IN ('ENTRADA','AJUSTE') THEN quantidade ELSE -abs(quantidade) END)")}
                    AS saldo_atual
-        FROM lineitem GROUP BY 1""",
+        FROM movimentos GROUP BY 1""",
 }
 
 QUERIES = {

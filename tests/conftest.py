@@ -9,10 +9,11 @@ sys.path.insert(0, os.path.join(ROOT, "tests"))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tulha.session import local_session
 
-    return local_session(8, "tests")
+    shared = f"file://{tmp_path_factory.mktemp('shared')}"
+    return local_session(8, "tests", **{"spark.checkpoint.dir": shared})
 
 
 @pytest.fixture(scope="session")

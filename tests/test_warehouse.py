@@ -4,11 +4,13 @@ import csv
 import datetime as dt
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from test_rules import BASE
 from tulha.loader import check_landing, check_loaded, load_all
 from tulha.model import ENTITIES
+from tulha.operators.rules import judge
 from tulha.plans import reports
 from tulha.sinks.warehouse import Warehouse, ensure_tables
 from tulha.sources.csv_files import ExtractError, extract, preview, read_csv
@@ -62,6 +64,36 @@ def test_read_csv_lineage_and_null_tokens(spark, landing):
     assert preview(spark, str(landing / "produtos.csv"), 2).count() == 2
 
 
+def csv_text(*lines):
+    return "\n".join([",".join(ENTITIES["fornecedores"].columns), *lines]) + "\n"
+
+
+def test_quoted_fields_and_malformed_rows(spark, tmp_path):
+    path = tmp_path / "fornecedores.csv"
+    path.write_text(csv_text(
+        'F1,"Monitor 24"" HD",1,"a, ""b""",x,y,3,1', "F2,tem campo,demais,1,x,y,3,1,9", "F3,falta,1",
+        'F4,"duas\nlinhas",1,g,x,y,5.0,1',
+    ))
+    rows = read_csv(spark, str(path), multi_line=True)
+    found = {r["cod_fornecedor"]: r for r in rows.collect()}
+    assert found["F1"]["razao_social"] == 'Monitor 24" HD' and found["F1"]["categoria"] == 'a, "b"'
+    assert found["F4"]["razao_social"] == "duas\nlinhas"
+    assert {k for k, r in found.items() if r["_malformed"]} == {"F2", "F3"}
+    judged = {r["cod_fornecedor"]: r for r in judge(rows, "fornecedores").collect()}
+    assert {k: r["_reject_reason"] for k, r in judged.items()} == {
+        "F1": None, "F2": "MALFORMED_ROW", "F3": "MALFORMED_ROW", "F4": None}
+    assert judged["F4"]["prazo_entrega_dias"] == 5
+
+
+def test_malformed_row_wins_no_key(spark, tmp_path):
+    path = tmp_path / "clientes.csv"
+    write_csv(path, "clientes", [{}])
+    good = path.read_text().splitlines()
+    path.write_text("\n".join([good[0], good[1] + ",x", good[1]]) + "\n")
+    reasons = [r["_reject_reason"] for r in judge(read_csv(spark, str(path)), "clientes").collect()]
+    assert sorted(reasons, key=str) == ["MALFORMED_ROW", None]
+
+
 def test_extract_errors(spark, landing, tmp_path):
     entity = ENTITIES["produtos"]
     with pytest.raises(ExtractError, match="not found"):
@@ -163,7 +195,8 @@ def test_catalog_tables(spark):
     for _ in range(2):
         ensure_tables(spark, "tulha_test")
     names = {t.name for t in spark.catalog.listTables("tulha_test")}
-    assert {"dim_produtos", "fct_movimentacoes_estoque", "log_etl_execucoes"} <= names
+    assert {"dim_produtos", "fct_movimentacoes_estoque", "log_etl_execucoes", "dim_tempo"} <= names
+    assert {e.staging for e in ENTITIES.values()} <= names
     star = catalog_star(spark, ["dim_produtos"], "tulha_test")
     assert star.table("dim_produtos", "cod_produto").count() == 0
     spark.sql("DROP DATABASE tulha_test CASCADE")
@@ -188,6 +221,42 @@ def test_stream_loads_each_file_once(spark, tmp_path):
     assert warehouse.reject_log().count() == 2
 
 
+def test_two_streams_into_one_warehouse(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    for k in (1, 2, 1):  # the third run has nothing new
+        landing = tmp_path / f"in{k}"
+        landing.mkdir(exist_ok=True)
+        name = f"V{k}"
+        write_csv(landing / "a.csv", "pedidos_venda", [dict(num_pedido=name), dict(num_pedido=name)])
+        ingest(spark, str(landing), "pedidos_venda", root, str(tmp_path / f"cp{k}")).awaitTermination()
+    warehouse = Warehouse(spark, root)
+    assert {r["num_pedido"] for r in warehouse.table(PEDIDOS.table).collect()} == {"V1", "V2"}
+    log = warehouse.reject_log().collect()
+    assert len(log) == 2 and len({r["pipeline_run"] for r in log}) == 2
+
+
+def test_stream_checks_the_header(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    columns = list(ENTITIES["clientes"].columns)
+    columns[:2] = columns[1::-1]
+    (landing / "a.csv").write_text(",".join(columns) + "\n" + "Empresa,C1" + "," * (len(columns) - 2) + "\n")
+    stream = ingest(spark, str(landing), "clientes", str(tmp_path / "wh"), str(tmp_path / "cp"))
+    with pytest.raises(StreamingQueryException):
+        stream.awaitTermination()
+
+
+def test_numbers_are_judged_as_read(spark, tmp_path):
+    path = tmp_path / "produtos.csv"
+    rows = [dict(cod_produto="A", custo_unitario="0.00004"), dict(cod_produto="B", custo_unitario="-0.00004"),
+            dict(cod_produto="C", preco_venda="123456789012345678"), dict(cod_produto="D", estoque_minimo="5.0")]
+    write_csv(path, "produtos", rows)
+    found = {r["cod_produto"]: r for r in judge(read_csv(spark, str(path)), "produtos").collect()}
+    assert {k: r["_reject_detail"] for k, r in found.items()} == {
+        "A": "", "B": "custo_nao_positivo", "C": "preco_venda_fora_da_escala", "D": ""}
+    assert found["D"]["estoque_minimo"] == 5 and found["A"]["custo_unitario"] == 0
+
+
 def test_stream_balance(spark, tmp_path):
     source = tmp_path / "in"
     schema = "cod_produto long, tipo_mov string, quantidade double"

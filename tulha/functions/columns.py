@@ -11,7 +11,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, functions as F
 
-from tulha.model import DATE_FORMATS, NUMBER, VALUE
+from tulha.model import ALERT_FACTOR, DATE_FORMATS, EXACT, VALUE
 
 CENT = Decimal("0.01")
 
@@ -45,12 +45,14 @@ def parse_date(c: Column | str, formats: list[str] = DATE_FORMATS) -> Column:
 
 
 def parse_number(c: Column | str) -> Column:
-    """Decimal of a text value with either decimal mark; null when unreadable."""
-    return F.replace(_col(c), F.lit(","), F.lit(".")).try_cast(NUMBER)
+    """Decimal of a text value with either decimal mark, to ten places; null when unreadable."""
+    return F.replace(_col(c), F.lit(","), F.lit(".")).try_cast(EXACT)
 
 
 def parse_integer(c: Column | str) -> Column:
-    return _col(c).try_cast("bigint")
+    """Whole number of a text value, also when written with a zero fraction (5.0)."""
+    whole = _col(c).rlike(r"^\s*[+-]?\d+(\.0*)?\s*$")
+    return F.when(whole, F.regexp_replace(_col(c), r"\.0*\s*$", "").try_cast("bigint"))
 
 
 # --- text --------------------------------------------------------------------
@@ -121,7 +123,7 @@ def margin_percent(cost: Column | str, price: Column | str) -> Column:
 def stock_status(balance: Column, minimum: Column) -> Column:
     return (
         F.when(balance <= minimum, "CRITICO")
-        .when(balance <= minimum * F.lit(Decimal("1.5")), "ALERTA")
+        .when(balance <= minimum * F.lit(Decimal(ALERT_FACTOR)), "ALERTA")
         .otherwise("OK")
     )
 

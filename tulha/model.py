@@ -25,8 +25,11 @@ ANOMALY_Z = 2.5
 DUPLICATE_KEY = "DUPLICATE_KEY"
 BUSINESS_RULE_VIOLATION = "BUSINESS_RULE_VIOLATION"
 NOT_NULL = "NOT_NULL"
+MALFORMED_ROW = "MALFORMED_ROW"
 # -----------------------------------------------------------------------------
 
+# As read, for the rules; as stored.
+EXACT = T.DecimalType(38, 10)
 NUMBER = T.DecimalType(18, 4)
 VALUE = T.DecimalType(18, 2)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -20,14 +23,21 @@ def mark_duplicates(
 ) -> DataFrame:
     """All rows, flagged true when an earlier row has the same key (nulls compare equal).
 
-    Ranking every row of a key would put a hot key into one task. Instead the
-    smallest (order, row id) per key is found with map-side aggregation, and the
-    winners are joined back on the row id, which is unique and so spreads evenly.
+    Ranking every row of a key would put a hot key into one task. Instead keys are
+    counted on the map side, only rows of repeated keys compete for the smallest
+    (order, row id), and the losers are joined back on the row id, which is unique and
+    so spreads evenly.
     """
-    first = df.groupBy(*keys).agg(F.min(F.struct(*order, F.col(row_id).alias("_winner"))).alias("_m"))
-    winners = first.select(F.col("_m._winner").alias(row_id), F.lit(True).alias("_first"))
-    return (
-        df.join(winners, row_id, "left")
-        .withColumn(mark, F.col("_first").isNull())
-        .drop("_first")
+    names = {k: f"_same_{k}" for k in keys}
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    repeated = counted.select(*[F.col(k).alias(n) for k, n in names.items()])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()])
+    needed = list(dict.fromkeys([*keys, *order, row_id]))
+    members = df.select(*needed).join(repeated, same, "left_semi")
+    first = members.groupBy(*keys).agg(
+        F.min(F.struct(*order, F.col(row_id).alias("_winner"))).alias("_m")
     )
+    winners = first.select(F.col("_m._winner").alias(row_id))
+    losers = members.select(row_id).join(winners, row_id, "left_anti")
+    flagged = df.join(losers.withColumn(mark, F.lit(True)), row_id, "left")
+    return flagged.withColumn(mark, F.col(mark).isNotNull())

@@ -57,71 +57,63 @@ def required_columns_check(df: DataFrame, entity: str, required: tuple[str, ...]
     return _finish(checks, entity)
 
 
-def null_checks(df: DataFrame, entity: str) -> DataFrame:
-    """One check per column, all columns counted in one pass."""
+def _profile(df: DataFrame) -> DataFrame:
+    """One row: rows, repeats after the first, and nulls per column (``_nulls_<column>``).
+
+    One scan. Rows meet by a 256-bit hash of their length-prefixed values and a bit per
+    null, so no text is shuffled; copies are counted on the map side.
+    """
     columns = business_columns(df)
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"_nulls_{c}") for c in columns],
+    texts = [F.col(f"`{c}`").cast("string") for c in columns]
+    marked = [F.coalesce(F.concat(F.length(t), F.lit(":"), t), F.lit("-")) for t in texts]
+    bits = [F.when(t.isNull(), F.lit(1 << k)).otherwise(F.lit(0)) for k, t in enumerate(texts)]
+    rows = df.select(
+        F.unhex(F.sha2(F.concat(*marked), 256)).alias("_hash"),
+        reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long").alias("_empty"),
+    )
+    copies = rows.groupBy("_hash", "_empty").agg(F.count(F.lit(1)).alias("_copies"))
+    nulls = [
+        F.coalesce(
+            F.sum(F.when(F.getbit("_empty", F.lit(k)) == 1, F.col("_copies")).otherwise(0)),
+            F.lit(0),
+        ).alias(f"_nulls_{c}")
+        for k, c in enumerate(columns)
+    ]
+    return copies.agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("_repeats"),
+        *nulls,
     )
+
+
+def run_checks(df: DataFrame, entity: str, required: tuple[str, ...] = ()) -> DataFrame:
+    """The standard battery over one table: names, nulls per column, repeated rows."""
+    found = [(f"null_check:{c}", f"_nulls_{c}") for c in business_columns(df)]
+    found.append(("duplicate_rows", "_repeats"))
     pairs = F.explode(
         F.array(
             *[
-                F.struct(
-                    F.lit(f"null_check:{c}").alias("check_name"),
-                    F.col(f"`_nulls_{c}`").alias("failed_rows"),
-                )
-                for c in columns
+                F.struct(F.lit(n).alias("check_name"), F.col(f"`{c}`").alias("failed_rows"))
+                for n, c in found
             ]
         )
     )
-    rows = counts.select("total_rows", pairs.alias("c")).select("total_rows", "c.*")
+    rows = _profile(df).select("total_rows", pairs.alias("c")).select("total_rows", "c.*")
     failed, total = F.col("failed_rows"), F.col("total_rows")
     share = _share(failed, total)
+    repeats = F.col("check_name") == "duplicate_rows"
     status = (
-        F.when(share <= MAX_NULL_PCT, "PASS").when(share < FAIL_NULL_PCT, "WARN").otherwise("FAIL")
-    )
-    return _finish(
-        rows.withColumns({"status": status, "detail": _detail(failed, total, "null")}), entity
-    )
-
-
-def duplicate_check(df: DataFrame, entity: str) -> DataFrame:
-    """Repeats of whole rows after the first; copies are counted on the map side."""
-    names = [f"`{c}`" for c in business_columns(df)]
-    copies = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
-    rows = copies.agg(
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("failed_rows"),
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
-    )
-    failed, total = F.col("failed_rows"), F.col("total_rows")
-    status = (
-        F.when(failed == 0, "PASS")
-        .when(_share(failed, total) <= MAX_DUPLICATE_PCT, "WARN")
+        F.when(repeats & (failed == 0), "PASS")
+        .when(repeats, F.when(share <= MAX_DUPLICATE_PCT, "WARN").otherwise("FAIL"))
+        .when(share <= MAX_NULL_PCT, "PASS")
+        .when(share < FAIL_NULL_PCT, "WARN")
         .otherwise("FAIL")
     )
-    return _finish(
-        rows.withColumns(
-            {
-                "check_name": F.lit("duplicate_rows"),
-                "status": status,
-                "detail": _detail(failed, total, "duplicates"),
-            }
-        ),
-        entity,
-    )
-
-
-def run_checks(df: DataFrame, entity: str, required: tuple[str, ...] = ()) -> DataFrame:
-    """The standard battery over one table."""
-    return reduce(
-        DataFrame.unionByName,
-        [
-            required_columns_check(df, entity, required),
-            null_checks(df, entity),
-            duplicate_check(df, entity),
-        ],
+    detail = F.when(repeats, _detail(failed, total, "duplicates")).otherwise(
+        _detail(failed, total, "null")
     )
+    checks = _finish(rows.withColumns({"status": status, "detail": detail}), entity)
+    return required_columns_check(df, entity, required).unionByName(checks)
 
 
 def summary(checks: DataFrame) -> DataFrame:

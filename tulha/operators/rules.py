@@ -26,6 +26,7 @@ from tulha.model import (
     DUPLICATE_KEY,
     ENTITIES,
     LINEAGE,
+    MALFORMED_ROW,
     NOT_NULL,
     NUMBER,
     STATUS_COMPRA,
@@ -35,7 +36,10 @@ from tulha.model import (
     Entity,
 )
 from tulha.operators.cleaning import clean
-from tulha.operators.dedup import mark_duplicates
+from tulha.operators.dedup import keep_first, mark_duplicates
+
+#: Where a reader puts the text of a row that does not fit its header.
+MALFORMED = "_malformed"
 
 
 class Split(NamedTuple):
@@ -178,19 +182,30 @@ def rule_sets() -> dict[str, RuleSet]:
     return {s.entity.name: s for s in sets}
 
 
-def judge(raw: DataFrame, name: str, date_mode: str = "per_value") -> DataFrame:
+def judge(
+    raw: DataFrame, name: str, date_mode: str = "per_value", drop_repeats: bool = False
+) -> DataFrame:
     """Clean rows of one entity with ``_reject_reason`` (null = valid) and ``_reject_detail``.
 
     Duplicates are judged first, by key, keeping the first row in source order:
-    ``_ord`` when the source carries one, else the row's own content.
+    ``_ord`` when the source carries one, else the row's own content. With
+    ``drop_repeats`` the later rows of a key are left out instead of flagged, which
+    takes one shuffle less. Rules see numbers as read; stored scale comes after them.
+    Rows that the reader marked as malformed are rejected as such and win no key.
     """
     rule_set = rule_sets()[name]
     entity = rule_set.entity
     if "_row_id" not in raw.columns:
         raw = raw.withColumn("_row_id", F.monotonically_increasing_id())
+    broken_rows = None
+    if MALFORMED in raw.columns:
+        broken_rows = raw.filter(F.col(MALFORMED).isNotNull()).drop(MALFORMED)
+        raw = raw.filter(F.col(MALFORMED).isNull()).drop(MALFORMED)
     rows = clean(raw, entity, date_mode)
-    if entity.dedup:
-        order = ["_ord"] if "_ord" in rows.columns else list(entity.columns)
+    order = ["_ord"] if "_ord" in rows.columns else list(entity.columns)
+    if entity.dedup and drop_repeats:
+        rows = keep_first(rows, list(entity.key), [*order, "_row_id"])
+    if entity.dedup and not drop_repeats:
         rows = mark_duplicates(rows, list(entity.key), order, "_row_id")
     else:
         rows = rows.withColumn("_duplicate", F.lit(False))
@@ -201,11 +216,16 @@ def judge(raw: DataFrame, name: str, date_mode: str = "per_value") -> DataFrame:
             F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(n)) for n, bad in rules])
         )
 
+    numbers = entity.of_kind("num")
+    too_large = [
+        (f"{n}_fora_da_escala", _c(n).isNotNull() & _c(n).try_cast(NUMBER).isNull())
+        for n in numbers
+    ]
     required = [(f"{n}_ausente", _c(n).isNull()) for n in entity.not_null]
     nothing = F.array().cast("array<string>")
-    violations = broken(rule_set.rules) if rule_set.rules else nothing
+    violations = broken(rule_set.rules + too_large) if rule_set.rules or too_large else nothing
     absent = broken(required) if required else nothing
-    return (
+    judged = (
         rows.withColumns({"_violations": violations, "_absent": absent})
         .withColumns(
             {
@@ -219,6 +239,10 @@ def judge(raw: DataFrame, name: str, date_mode: str = "per_value") -> DataFrame:
         )
         .drop("_violations", "_absent", "_duplicate")
     )
+    if broken_rows is not None:
+        marks = {"_reject_reason": F.lit(MALFORMED_ROW), "_reject_detail": F.lit("campos")}
+        judged = judged.unionByName(clean(broken_rows, entity, date_mode).withColumns(marks))
+    return judged.withColumns({n: _c(n).try_cast(NUMBER) for n in numbers}) if numbers else judged
 
 
 def valid_rows(
@@ -239,7 +263,7 @@ def valid_rows(
 
 def accepted(raw: DataFrame, name: str) -> DataFrame:
     """Judged rows of one entity that passed."""
-    return judge(raw, name).filter(F.col("_reject_reason").isNull())
+    return judge(raw, name, drop_repeats=True).filter(F.col("_reject_reason").isNull())
 
 
 def rejected_rows(judged: DataFrame, name: str) -> DataFrame:

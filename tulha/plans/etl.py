@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tulha.functions.columns import dbl
-from tulha.model import ENTITIES, STATUS_VENDA
+from tulha.model import ENTITIES, FOREIGN_KEYS, STATUS_VENDA
 from tulha.operators.calendar import CALENDAR_COLUMNS, calendar_parts
 from tulha.operators.cleaning import clean, unreadable_dates
 from tulha.operators.merge import upsert
@@ -20,9 +20,6 @@ from tulha.sources.fixture import read_table
 from tulha.sources.raw_fixture import RawFixture
 from tulha.sources.star import Star
 
-CHECKED = ["produtos", "clientes", "pedidos_venda", "itens_pedido_venda"]
-
-
 def decimals_as_double(df: DataFrame) -> DataFrame:
     names = [f.name for f in df.schema if isinstance(f.dataType, T.DecimalType)]
     return df.withColumns({n: dbl(n) for n in names}) if names else df
@@ -52,7 +49,7 @@ def dq_checks(raw: RawFixture) -> DataFrame:
     documents = read_table(raw.spark, raw.folder, "documents")
     labels = read_table(raw.spark, raw.folder, "labels")
     labelled = documents.join(labels, "doc_id", "left")
-    batteries = [run_checks(raw.extract(n), n, ENTITIES[n].required) for n in CHECKED]
+    batteries = [run_checks(raw.extract(n), n, ENTITIES[n].required) for n in ENTITIES]
     batteries.append(run_checks(labelled, "documentos", ("doc_id", "text", "lang")))
     return union_all(batteries)
 
@@ -63,16 +60,12 @@ def dq_resumo(raw: RawFixture) -> DataFrame:
 
 def dq_integridade_validos(raw: RawFixture) -> DataFrame:
     """References between accepted rows: a rejected parent leaves orphans."""
-    passed = {n: accepted(raw.extract(n), n) for n in CHECKED}
-    keys = [
-        ("pedidos_venda", "cod_cliente", "clientes"),
-        ("itens_pedido_venda", "num_pedido", "pedidos_venda"),
-        ("itens_pedido_venda", "cod_produto", "produtos"),
-    ]
+    by_table = {e.table: n for n, e in ENTITIES.items()}
+    passed = {n: accepted(raw.extract(n), n) for n in ENTITIES}
     return union_all(
         [
-            orphan_check(passed[child], column, passed[parent], column, f"fct_{child}")
-            for child, column, parent in keys
+            orphan_check(passed[by_table[child]], column, passed[by_table[parent]], key, child)
+            for child, column, parent, key in FOREIGN_KEYS
         ]
     )
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tulha.model import ENTITIES
 from tulha.plans.etl import decimals_as_double
 from tulha.session import scratch_path
 from tulha.sinks.warehouse import Warehouse
-from tulha.sources.fixture import read_table
+from tulha.sources.fixture import FixtureStar
 from tulha.sources.raw_fixture import RawFixture
 from tulha.streaming.ingest import BALANCE, ingest, keep_balance
 
@@ -30,21 +30,17 @@ def st_ingestao_pedidos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def st_saldo_produto(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stock balance per product, kept by a stream over the movement files."""
+    """Stock balance per product, kept by a stream over landed movement files.
+
+    The movements land as files of the star's fact table, in which repeats are gone; the
+    stream's balance is the one of the batch view.
+    """
     base = scratch_path(spark, "saldo")
-    schema = read_table(spark, sf_dir, "lineitem").schema
-    flag = F.col("l_returnflag")
-    kind = F.when(flag == "N", "SAIDA").when(flag == "R", "ENTRADA").otherwise("TRANSFERENCIA")
-    moves = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "lineitem.parquet")
-        .parquet(sf_dir)
-        .select(
-            F.col("l_partkey").alias("cod_produto"),
-            kind.alias("tipo_mov"),
-            F.col("l_quantity").alias("quantidade"),
-        )
+    moves = FixtureStar(spark, sf_dir).table(
+        "fct_movimentacoes_estoque", "cod_produto", "tipo_mov", "quantidade"
     )
-    keep_balance(moves, f"{base}/warehouse", f"{base}/checkpoint").awaitTermination()
+    moves.write.parquet(f"{base}/landing")
+    landed = spark.readStream.schema(moves.schema).parquet(f"{base}/landing")
+    keep_balance(landed, f"{base}/warehouse", f"{base}/checkpoint").awaitTermination()
     table = Warehouse(spark, f"{base}/warehouse").read("saldo_corrente", BALANCE)
     return decimals_as_double(table)

@@ -64,15 +64,15 @@ def _on_raw(plan: Callable[..., DataFrame], *arguments: object) -> Query:
 
 
 def _on_runs(plan: Callable[[DataFrame], DataFrame]) -> Query:
-    return _on_raw(lambda raw: plan(loading.DerivedLog(raw).runs()))
+    return _on_raw(lambda raw: plan(loading.StoredLog(raw).runs()))
 
 
 def _on_rejects(plan: Callable[[DataFrame], DataFrame]) -> Query:
-    return _on_raw(lambda raw: plan(loading.DerivedLog(raw).rejects()))
+    return _on_raw(lambda raw: plan(loading.StoredLog(raw).rejects()))
 
 
 def _quality_kpis(raw: RawFixture) -> DataFrame:
-    log = loading.DerivedLog(raw)
+    log = loading.StoredLog(raw)
     return loading.dash_qualidade_kpis(log.runs(), log.rejects())
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,14 +44,17 @@ def local_session(cpus: int | str = 8, name: str = "tulha", **conf: str) -> Spar
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
+    """Folder named by ``spark.checkpoint.dir``; unset, one below the warehouse folder.
+
+    Both are shared by the driver and all executors.
+    """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if sc.getCheckpointDir() is None:
-        if named is None and not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tulha-"))
-    return named or sc.getCheckpointDir()
+        sc.setCheckpointDir(named)
+    return named
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

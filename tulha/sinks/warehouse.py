@@ -36,11 +36,12 @@ def by_month(column: str) -> Callable[[], Column]:
     return lambda: F.coalesce(F.date_format(column, "yyyyMM"), F.lit("sem_data"))
 
 
-def by_hash(column: str) -> Callable[[], Column]:
-    return lambda: F.pmod(F.xxhash64(column), F.lit(HASH_PARTS)).cast("string")
+def by_hash(column: str, parts: int = HASH_PARTS) -> Callable[[], Column]:
+    return lambda: F.pmod(F.xxhash64(column), F.lit(parts)).cast("string")
 
 
-# Facts are split so that an upsert rewrites only the parts its keys live in.
+# Facts are split so that an upsert rewrites only the parts its keys live in. A warehouse
+# takes its own splits: more hash parts where a part would be too large to rewrite.
 PARTS: dict[str, Callable[[], Column]] = {
     "fct_pedidos_venda": by_month("data_pedido"),
     "fct_itens_pedido_venda": by_hash("num_pedido"),
@@ -51,9 +52,13 @@ PARTS: dict[str, Callable[[], Column]] = {
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(
+        self, spark: SparkSession, root: str,
+        parts: dict[str, Callable[[], Column]] | None = None,
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.parts = {**PARTS, **(parts or {})}
 
     # --- manifest ------------------------------------------------------------
     def _manifest(self, table: str) -> DataFrame:
@@ -64,7 +69,9 @@ class Warehouse:
         try:
             reader = self.spark.read.schema(schema).option("recursiveFileLookup", True)
             return reader.parquet(f"{self.root}/{name}")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema)
 
     def live_parts(self, table: str) -> dict[str, str]:
@@ -118,7 +125,7 @@ class Warehouse:
     def _write(self, df: DataFrame, table: str, version: int) -> dict[str, str]:
         """Write a version and return its parts with their folders."""
         folder = f"{self.root}/{table}/v={version}"
-        part = PARTS[table]() if table in PARTS else F.lit(ONE_PART)
+        part = self.parts[table]() if table in self.parts else F.lit(ONE_PART)
         # Rebalance: few files for a small part, several for a large one.
         rows = df.withColumn("_part", part).hint("rebalance", F.col("_part"))
         rows.write.mode("overwrite").partitionBy("_part").parquet(folder)
@@ -165,8 +172,8 @@ class Warehouse:
         if df.isEmpty():
             return
         source = keep_first(df, keys, latest)
-        if table in PARTS:
-            part = PARTS[table]().alias("_part")
+        if table in self.parts:
+            part = self.parts[table]().alias("_part")
             current = self.read(table, schema)
             old = current.join(source.select(*keys), keys, "left_semi").select(part)
             touched = {r["_part"] for r in source.select(part).union(old).distinct().collect()}
@@ -217,9 +224,11 @@ def table_schema(name: str) -> T.StructType:
 
 
 def ensure_tables(spark: SparkSession, database: str) -> None:
-    """Create catalog tables for every target and control table that is not there."""
-    schemas = {e.table: e.schema for e in ENTITIES.values()}
+    """Create catalog tables for every staging, target and control table that is not there."""
+    schemas = {e.staging: e.raw_schema for e in ENTITIES.values()}
+    schemas |= {e.table: e.schema for e in ENTITIES.values()}
     schemas |= {"log_etl_execucoes": RUN_LOG, "log_registros_rejeitados": REJECT_LOG}
+    schemas["dim_tempo"] = build_calendar(spark, "2024-01-01", "2024-01-01").schema
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, schema in schemas.items():
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)

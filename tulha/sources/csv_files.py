@@ -7,6 +7,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tulha.model import Entity
 from tulha.operators.cleaning import null_tokens
+from tulha.operators.rules import MALFORMED
+
+#: Quotes are doubled inside quoted fields; a row with another number of fields than the
+#: header is kept as text in the MALFORMED column; a header in another order is an error.
+CSV_OPTIONS = {
+    "header": "true", "escape": '"', "mode": "PERMISSIVE", "enforceSchema": "false",
+    "columnNameOfCorruptRecord": MALFORMED,
+    "columnPruning": "false",  # a parser that skips fields cannot count them
+}
 
 
 class ExtractError(Exception):
@@ -20,7 +29,7 @@ def row_hash(columns: list[str]) -> Column:
 
 def _header(spark: SparkSession, path: str) -> list[str]:
     try:
-        return spark.read.option("header", True).csv(path).columns
+        return spark.read.option("header", True).option("escape", '"').csv(path).columns
     except AnalysisException as error:
         raise ExtractError(f"File not found or without header: {path}") from error
 
@@ -32,17 +41,22 @@ def check_required(columns: list[str], required: tuple[str, ...], path: str) ->
 
 
 def read_csv(
-    spark: SparkSession, path: str, required: tuple[str, ...] = (), run_id: str = ""
+    spark: SparkSession, path: str, required: tuple[str, ...] = (), run_id: str = "",
+    multi_line: bool = False,
 ) -> DataFrame:
     """A file or folder of CSV files as text columns plus lineage.
 
     ``_ord`` is the place of the row in its source (file, block, row) and
     ``_row_id`` identifies it; both feed the keep-first rule for duplicate keys.
+    ``multi_line`` reads fields with line breaks; such files are not split, so keep
+    them small or many. Rows with too many or too few fields have their text in
+    ``_malformed`` (null otherwise) and are rejected by ``judge``.
     """
     names = _header(spark, path)
     check_required(names, required, path)
-    schema = ", ".join(f"`{n}` string" for n in names)
-    raw = spark.read.schema(schema).option("header", True).csv(path)
+    schema = ", ".join(f"`{n}` string" for n in [*names, MALFORMED])
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("multiLine", multi_line)
+    raw = reader.csv(path)
     place = F.struct(
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),

@@ -87,6 +87,7 @@ class RawFixture:
             F.when(k % 31 == 3, "0")
             .when(k % 37 == 5, "N/A")
             .when(k % 43 == 9, _money(price + 1))
+            .when(k % 59 == 11, "0.00004")
             .otherwise(_comma(_money(cost)))
             .alias("custo_unitario"),
             _money(price).alias("preco_venda"),
@@ -143,7 +144,10 @@ class RawFixture:
             F.lit("Geral").alias("categoria"),
             F.col("n_name").alias("cidade"),
             F.col("n_name").alias("estado"),
-            F.when(k % 17 == 0, "1.5").otherwise(_text(k % 21 + 1)).alias("prazo_entrega_dias"),
+            F.when(k % 17 == 0, "1.5")
+            .when(k % 19 == 0, F.concat(_text(k % 21 + 1), F.lit(".0")))
+            .otherwise(_text(k % 21 + 1))
+            .alias("prazo_entrega_dias"),
             F.lit("1").alias("ativo"),
             F.lit(FIRST_RUN).alias("_pipeline_run_id"),
             "_row_id",

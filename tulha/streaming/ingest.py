@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,43 +13,52 @@ from tulha.model import ENTITIES, NUMBER
 from tulha.operators.cleaning import null_tokens
 from tulha.session import cut_lineage
 from tulha.sinks.warehouse import Warehouse
-from tulha.sources.csv_files import row_hash
+from tulha.operators.rules import MALFORMED
+from tulha.sources.csv_files import CSV_OPTIONS, row_hash
 
 
 def landed_rows(
     spark: SparkSession, folder: str, name: str, max_files: int | None = None
 ) -> DataFrame:
-    """Stream of the CSV rows of one entity, with their place in the source."""
+    """Stream of the CSV rows of one entity, with their place in the source.
+
+    A file whose header is not the entity's columns in their order stops the stream.
+    """
     entity = ENTITIES[name]
-    reader = spark.readStream.schema(entity.raw_schema).option("header", True)
+    schema = T.StructType([*entity.raw_schema, T.StructField(MALFORMED, T.StringType())])
+    reader = spark.readStream.schema(schema).options(**CSV_OPTIONS)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     columns = list(entity.columns)
     rows = reader.csv(folder).select(
         *columns,
+        MALFORMED,
         F.col("_metadata.file_name").alias("_source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
     )
     return null_tokens(rows, columns).withColumn("_row_hash", row_hash(columns))
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Id of the running stream; it lives in the checkpoint and is new for a new one."""
+    running = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return running or hashlib.md5(checkpoint.encode()).hexdigest()
+
+
 def ingest(
     spark: SparkSession, folder: str, name: str, root: str, checkpoint: str,
     max_files: int | None = None,
 ) -> StreamingQuery:
     """Load every file not loaded yet into the warehouse, then stop.
 
-    The batch id names the batch everywhere it is stored. A batch that is run
-    again after a failure overwrites its own log folders, and is skipped when
-    the target table already lists it.
+    Batch ids begin at 0 for every checkpoint, so the stream's own id is part of the
+    name of a batch wherever it is stored. A batch that is run again after a failure
+    overwrites its own log folders, and its upsert gives the same table.
     """
-    entity = ENTITIES[name]
     warehouse = Warehouse(spark, root)
 
     def load_batch(rows: DataFrame, batch_id: int) -> None:
-        batch = f"stream-{name}-{batch_id}"
-        if warehouse.committed(entity.table, batch):
-            return
+        batch = f"stream-{name}-{stream_id(rows.sparkSession, checkpoint)}-{batch_id}"
         place = F.struct("_source_file", "_block", F.monotonically_increasing_id().alias("row"))
         numbered = rows.withColumns(
             {"_ord": place, "_pipeline_run_id": F.lit(batch), "_ingestion_ts": F.current_timestamp()}
@@ -91,11 +102,10 @@ def keep_balance(
     keys = ["cod_produto"]
 
     def merge(changed: DataFrame, batch_id: int) -> None:
-        batch = f"{table}-{batch_id}"
-        if not warehouse.committed(table, batch):
-            warehouse.upsert(
-                cut_lineage(changed), table, keys, BALANCE, [F.desc("movimentos")], batch
-            )
+        batch = f"{table}-{stream_id(changed.sparkSession, checkpoint)}-{batch_id}"
+        warehouse.upsert(
+            cut_lineage(changed), table, keys, BALANCE, [F.desc("movimentos")], batch
+        )
 
     return (
         balance_of(moves)
