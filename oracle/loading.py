@@ -563,6 +563,37 @@ MISC = {
         GROUP BY 1""",
 }
 
+# --- loads from landed files -------------------------------------------------
+_LANDED = ["produtos", "clientes", "fornecedores"]
+_ODD_NAME = """CASE WHEN cod_cliente LIKE '%0' THEN 'Loja "' || razao_social || '", filial'
+                    WHEN cod_cliente LIKE '%5' THEN razao_social || chr(10) || 'segunda linha'
+                    ELSE razao_social END"""
+_CLIENT = [c for c in _columns("clientes") if c != "razao_social"]
+_CLIENT_HASH = ", ".join(f"coalesce({c}, 'nan')" for c in _columns("clientes"))
+TARGETS = {"produtos": "dim_produtos", "clientes": "dim_clientes", "fornecedores": "dim_fornecedores"}
+
+LOADS = {
+    "src_csv_clientes": f"""
+        SELECT *, md5(concat_ws('|', {_CLIENT_HASH})) AS _row_hash, CAST(NULL AS VARCHAR) AS _malformed
+        FROM (SELECT {', '.join(_CLIENT)}, {_ODD_NAME} AS razao_social FROM bruto_clientes)""",
+    "carga_fornecedores": _valid("fornecedores"),
+    "carga_log": " UNION ALL ".join(
+        f"""SELECT '{n}' AS entity, 'SUCCESS' AS status, count(*) AS input_rows,
+                   count(*) FILTER (motivo IS NULL) AS valid_rows,
+                   count(*) FILTER (motivo IS NOT NULL) AS rejected_rows FROM julgado_{n}"""
+        for n in _LANDED
+    ),
+    "carga_metadados": " UNION ALL ".join(
+        f"""SELECT '{TARGETS[n]}' AS tabela, count(*) AS registros, count(*) AS ativos,
+                   count(*) AS carimbados FROM julgado_{n} WHERE motivo IS NULL
+            UNION ALL SELECT 'stg_{n}', count(*), NULL, NULL FROM bruto_{n}"""
+        for n in _LANDED
+    ),
+    "carga_rejeitos_csv": """
+        SELECT cod_produto, motivo AS _reject_reason, detalhe AS _reject_detail
+        FROM julgado_produtos WHERE motivo IS NOT NULL""",
+}
+
 STREAMS = {
     "st_ingestao_pedidos": _valid("pedidos_venda"),
     "st_saldo_produto": f"""
@@ -574,6 +605,7 @@ STREAMS = {
 
 QUERIES = {
     **STREAMS,
+    **LOADS,
     **{f"etl_{n}_validos": _valid(n) for n in RAW},
     **{f"etl_{n}_rejeitados": _rejected(n) for n in RAW},
     **LOGS,

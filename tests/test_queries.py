@@ -10,7 +10,10 @@ from tulha.session import tune
 ORACLE = entry.oracle_sql()
 QUERIES = {name: entry.queries()[name] for name in registry.queries()}
 # Written by their own actions; nothing is left to see in the plan.
-ACTIONS = {"st_ingestao_pedidos", "st_saldo_produto"}
+ACTIONS = {
+    "st_ingestao_pedidos", "st_saldo_produto", "carga_fornecedores", "carga_log", "carga_metadados",
+    "carga_rejeitos_csv",
+}
 
 
 @pytest.fixture(scope="module")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tulha.model import ENTITIES
 from tulha.operators.quality import referential_checks
 from tulha.plans import (
-    api, dashboard, etl, exercises, forecast, loading, reports, streams, views,
+    api, dashboard, etl, exercises, forecast, landed, loading, reports, streams, views,
 )
 from tulha.session import tune
 from tulha.sources.fixture import AS_OF, FixtureStar, read_table
@@ -107,6 +107,13 @@ def _load_queries() -> dict[str, Query]:
         "verificacao_carga": _on_star(etl.verificacao_carga),
         "calendario_pedidos": _on_star(etl.calendario_pedidos),
         "upsert_clientes": _merged_customers,
+        **{
+            plan.__name__: _tuned(plan)
+            for plan in (
+                landed.src_csv_clientes, landed.carga_fornecedores, landed.carga_log,
+                landed.carga_metadados, landed.carga_rejeitos_csv,
+            )
+        },
         "st_ingestao_pedidos": _tuned(streams.st_ingestao_pedidos),
         "st_saldo_produto": _tuned(streams.st_saldo_produto),
     }
