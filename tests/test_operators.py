@@ -14,7 +14,7 @@ from tulha.operators.cleaning import null_tokens, standard_name, trim_text
 from tulha.operators.dedup import keep_first, mark_duplicates
 from tulha.operators.merge import upsert
 from tulha.operators.quality import (
-    ends_before_start, orphan_check, out_of_domain, out_of_range, run_checks, summary,
+    ends_before_start, orphan_checks, out_of_domain, out_of_range, run_checks, summary,
 )
 from tulha.operators.running import running_total
 
@@ -154,5 +154,5 @@ def test_row_predicates(spark):
 def test_orphans(spark):
     child = spark.createDataFrame([(1,), (1,), (7,), (None,)], "fk int")
     parent = spark.createDataFrame([(1,), (2,)], "pk int")
-    row = orphan_check(child, "fk", parent, "pk", "filha").first()
+    row = orphan_checks(child, "filha", [("fk", parent, "pk")]).first()
     assert (row["failed_rows"], row["total_rows"], row["status"]) == (1, 4, "FAIL")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -186,34 +187,77 @@ def predicate_checks(df: DataFrame, entity: str, predicates: dict[str, Column])
     )
 
 
-def orphan_check(child: DataFrame, column: str, parent: DataFrame, key: str, name: str) -> DataFrame:
-    """Child rows whose non-null key has no parent.
+def orphan_checks(
+    child: DataFrame, name: str, references: list[tuple[str, DataFrame, str]]
+) -> DataFrame:
+    """Child rows whose non-null key has no parent, for each (column, parent, key).
 
-    Children are counted per key first, so a hot key meets its parent as one row.
+    One pass over the child for all its references. Children are counted per column and
+    key first, so a hot key meets its parent as one row.
     """
-    counted = child.groupBy(F.col(column).alias("_key")).agg(F.count(F.lit(1)).alias("n"))
-    known = parent.select(F.col(key).alias("_key"), F.lit(True).alias("_known"))
+    keys = [
+        F.struct(F.lit(c).alias("_column"), F.col(c).cast("string").alias("_key"))
+        for c, _, _ in references
+    ]
+    counted = (
+        child.select(F.explode(F.array(*keys)).alias("r"))
+        .groupBy("r._column", "r._key")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    known = reduce(
+        DataFrame.unionByName,
+        [
+            parent.select(F.lit(c).alias("_column"), F.col(k).cast("string").alias("_key"))
+            for c, parent, k in references
+        ],
+    ).withColumn("_known", F.lit(True))
     orphan = F.col("_key").isNotNull() & F.col("_known").isNull()
-    rows = counted.join(known, "_key", "left").agg(
-        F.coalesce(F.sum(F.when(orphan, F.col("n")).otherwise(0)), F.lit(0)).alias("failed_rows"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
+    found = counted.join(known, ["_column", "_key"], "left").groupBy("_column").agg(
+        F.sum(F.when(orphan, F.col("n")).otherwise(0)).alias("failed"), F.sum("n").alias("total")
     )
+    wanted = child.sparkSession.createDataFrame([(c,) for c, _, _ in references], "_column string")
     failed, total = F.col("failed_rows"), F.col("total_rows")
-    return rows.withColumns(
-        {
-            "check_name": F.lit(f"foreign_key:{column}"),
-            "status": F.when(failed == 0, "PASS").otherwise("FAIL"),
-            "detail": _detail(failed, total, "orphans"),
-        }
-    ).transform(_finish, name)
+    return (
+        wanted.join(found, "_column", "left")
+        .withColumns(
+            {
+                "failed_rows": F.coalesce("failed", F.lit(0)),
+                "total_rows": F.coalesce("total", F.lit(0)),
+                "check_name": F.concat(F.lit("foreign_key:"), F.col("_column")),
+            }
+        )
+        .withColumns(
+            {
+                "status": F.when(failed == 0, "PASS").otherwise("FAIL"),
+                "detail": _detail(failed, total, "orphans"),
+            }
+        )
+        .transform(_finish, name)
+    )
 
 
-def referential_checks(star: Star) -> DataFrame:
-    """Every foreign key of the star."""
+def _by_child() -> dict[str, list[tuple[str, str, str]]]:
+    out: dict[str, list[tuple[str, str, str]]] = {}
+    for child, column, parent, key in FOREIGN_KEYS:
+        out.setdefault(child, []).append((column, parent, key))
+    return out
+
+
+def all_orphan_checks(table: Callable[..., DataFrame]) -> DataFrame:
+    """Every foreign key; ``table(name, *columns)`` delivers the tables."""
     return reduce(
         DataFrame.unionByName,
         [
-            orphan_check(star.table(child, column), column, star.table(parent, key), key, child)
-            for child, column, parent, key in FOREIGN_KEYS
+            orphan_checks(
+                table(child, *[c for c, _, _ in references]),
+                child,
+                [(c, table(parent, k), k) for c, parent, k in references],
+            )
+            for child, references in _by_child().items()
         ],
     )
+
+
+def referential_checks(star: Star) -> DataFrame:
+    """Every foreign key of the star."""
+    return all_orphan_checks(star.table)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tulha.functions.columns import dbl
-from tulha.model import ENTITIES, FOREIGN_KEYS, STATUS_VENDA
+from tulha.model import ENTITIES, STATUS_VENDA
 from tulha.operators.calendar import CALENDAR_COLUMNS, calendar_parts
 from tulha.operators.cleaning import clean, unreadable_dates
 from tulha.operators.merge import upsert
 from tulha.operators.quality import (
-    ends_before_start, orphan_check, out_of_domain, out_of_range, predicate_checks, run_checks,
+    all_orphan_checks, ends_before_start, out_of_domain, out_of_range, predicate_checks, run_checks,
     summary,
 )
 from tulha.operators.rules import accepted, judge, rejected_rows, valid_rows
@@ -61,13 +61,12 @@ def dq_resumo(raw: RawFixture) -> DataFrame:
 def dq_integridade_validos(raw: RawFixture) -> DataFrame:
     """References between accepted rows: a rejected parent leaves orphans."""
     by_table = {e.table: n for n, e in ENTITIES.items()}
-    passed = {n: accepted(raw.extract(n), n) for n in ENTITIES}
-    return union_all(
-        [
-            orphan_check(passed[by_table[child]], column, passed[by_table[parent]], key, child)
-            for child, column, parent, key in FOREIGN_KEYS
-        ]
-    )
+
+    def passed(table: str, *columns: str) -> DataFrame:
+        name = by_table[table]
+        return accepted(raw.extract(name), name).select(*columns)
+
+    return all_orphan_checks(passed)
 
 
 def dq_predicados(raw: RawFixture) -> DataFrame:
