@@ -177,9 +177,8 @@ def pack(
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "ids_crc32", "start"], ascending=[False, True, True])
         group = group.reset_index(drop=True)
-        cost = max(max_attention, float(group["length"].max()) ** 2)
         sequence, offset = best_fit(
-            group["length"].to_numpy(np.int64), (length, max_documents, cost), weights
+            group["length"].to_numpy(np.int64), (length, max_documents, max_attention), weights
         )
         number = int(group["_pack"].iloc[0])
         group["sequence_id"] = sequence * packs + number
