@@ -12,7 +12,7 @@ from tulha.loader import check_landing, check_loaded, load_all
 from tulha.model import ENTITIES
 from tulha.operators.rules import judge
 from tulha.plans import reports
-from tulha.sinks.warehouse import Warehouse, ensure_tables
+from tulha.sinks.warehouse import Warehouse, by_hash, ensure_tables
 from tulha.sources.csv_files import ExtractError, extract, preview, read_csv
 from tulha.sources.landing import list_files, missing_files
 from tulha.sources.star import catalog_star, register_views, run_sql
@@ -154,25 +154,59 @@ def orders(spark, *rows):
     return spark.createDataFrame(data, PEDIDOS.schema)
 
 
+def files_by_part(spark, root):
+    """Part -> its files, to tell rewritten parts from others."""
+    rows = spark.read.parquet(f"{root}/{PEDIDOS.table}").select("_part", F.input_file_name().alias("f"))
+    found = {}
+    for r in rows.distinct().collect():
+        found.setdefault(str(r["_part"]), set()).add(r["f"])
+    return found
+
+
 def test_upsert_rewrites_only_touched_parts(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     jan, feb, mar = dt.date(2024, 1, 5), dt.date(2024, 2, 5), dt.date(2024, 3, 5)
     latest = [F.col("num_pedido")]
     first = orders(spark, ("A", jan, "1"), ("B", feb, "1"), ("C", feb, "1"), ("D", None, "1"))
-    warehouse.upsert_entity(first, PEDIDOS, latest, "b1")
-    before = warehouse.live_parts(PEDIDOS.table)
+    warehouse.upsert_entity(first, PEDIDOS, latest)
+    before = files_by_part(spark, tmp_path)
     assert set(before) == {"202401", "202402", "sem_data"}
-    # B moves to March; A's part must stay as it is.
-    warehouse.upsert_entity(orders(spark, ("B", mar, "2")), PEDIDOS, latest, "b2")
-    after = warehouse.live_parts(PEDIDOS.table)
-    assert after["202401"] == before["202401"] and after["202402"] != before["202402"]
-    rows = {r["num_pedido"]: (r["data_pedido"], r["observacao"]) for r in warehouse.table(PEDIDOS.table).collect()}
-    assert rows == {"A": (jan, "1"), "B": (mar, "2"), "C": (feb, "1"), "D": (None, "1")}
+    # B moves to March; A's part must stay as it is. Again: nothing changes.
+    for _ in range(2):
+        warehouse.upsert_entity(orders(spark, ("B", mar, "2")), PEDIDOS, latest)
+        after = files_by_part(spark, tmp_path)
+        assert after["202401"] == before["202401"] and after["202402"] != before["202402"]
+        rows = {r["num_pedido"]: (r["data_pedido"], r["observacao"]) for r in warehouse.table(PEDIDOS.table).collect()}
+        assert rows == {"A": (jan, "1"), "B": (mar, "2"), "C": (feb, "1"), "D": (None, "1")}
     # The only row of a part moves away: the part disappears.
-    warehouse.upsert_entity(orders(spark, ("A", mar, "3")), PEDIDOS, latest, "b3")
-    assert "202401" not in warehouse.live_parts(PEDIDOS.table)
+    warehouse.upsert_entity(orders(spark, ("A", mar, "3")), PEDIDOS, latest)
+    assert "202401" not in files_by_part(spark, tmp_path)
     assert warehouse.table(PEDIDOS.table).count() == 4
-    assert warehouse.committed(PEDIDOS.table, "b3") and not warehouse.committed(PEDIDOS.table, "b4")
+
+
+def test_failed_write_leaves_old_rows(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    latest = [F.col("num_pedido")]
+    warehouse.upsert_entity(orders(spark, ("A", None, "1")), PEDIDOS, latest)
+    bad = orders(spark, ("A", None, "2")).withColumn("observacao", F.raise_error(F.lit("morto")).cast("string"))
+    with pytest.raises(Exception, match="morto"):
+        warehouse._write(bad, PEDIDOS.table)
+    assert [r["observacao"] for r in warehouse.table(PEDIDOS.table).collect()] == ["1"]
+
+
+def test_only_a_missing_path_is_an_empty_table(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path))
+    assert warehouse.table(PEDIDOS.table).count() == 0
+    with pytest.raises(Exception, match="semesquema"):
+        Warehouse(spark, "semesquema://x").table(PEDIDOS.table).count()
+
+
+def test_hash_parts_are_a_table_property(spark, tmp_path):
+    parts = {PEDIDOS.table: by_hash("num_pedido", 2)}
+    warehouse = Warehouse(spark, str(tmp_path), parts)
+    rows = [(f"V{k}", None, "1") for k in range(30)]
+    warehouse.upsert_entity(orders(spark, *rows), PEDIDOS, [F.col("num_pedido")])
+    assert set(files_by_part(spark, tmp_path)) == {"0", "1"} and warehouse.table(PEDIDOS.table).count() == 30
 
 
 def test_replace_and_append(spark, tmp_path):

@@ -52,7 +52,8 @@ def store(
 ) -> dict:
     """Judge staged rows, store both sides, and return the counts.
 
-    The target's commit comes last: a batch that is listed there is complete.
+    The target comes last: running a batch again replaces its logs and gives the same
+    target rows.
     """
     entity = ENTITIES[name]
     judged = cut_lineage(judge(staged, name, date_mode))
@@ -68,7 +69,7 @@ def store(
     else:
         latest = [F.desc("_ord")]
     good = valid_rows(judged, name, keep=["_ord"])
-    warehouse.upsert_entity(good, entity, latest, batch)
+    warehouse.upsert_entity(good, entity, latest)
     rows, rejected = counts["i"], counts["r"]
     return {"entity": name, "input": rows, "valid": rows - rejected, "rejected": rejected}
 
@@ -84,7 +85,7 @@ def load_entity(
     try:
         raw = extract(spark, path, entity, run_id)
         # The staged copy fixes row order and row ids for everything that follows.
-        warehouse.replace(raw, entity.staging, run_id)
+        warehouse.replace(raw, entity.staging)
         staged = warehouse.read(entity.staging, raw.schema)
         checks = run_checks(staged, name, entity.required)
         checks = checks.withColumn("pipeline_run_id", F.lit(run_id))
@@ -124,7 +125,7 @@ def load_all(
         loaded = list(pool.map(one, ENTITIES))
     result.entities = [e for e in loaded if not e["error"]]
     result.errors = [e["error"] for e in loaded if e["error"]]
-    warehouse.replace(build_calendar(spark, *calendar), "dim_tempo", result.run_id)
+    warehouse.replace(build_calendar(spark, *calendar), "dim_tempo")
     orphans = referential_checks(warehouse.star())
     orphans = orphans.withColumn("pipeline_run_id", F.lit(result.run_id))
     warehouse.append(orphans, DQ_TABLE, f"{result.run_id}-referencias")

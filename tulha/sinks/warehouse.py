@@ -1,10 +1,10 @@
-"""Warehouse tables as versioned Parquet folders.
+"""Warehouse tables as Parquet folders, written by Spark's own partition overwrite.
 
-A load never changes files a reader may hold. It writes the parts it touches to
-a new folder and then adds one small file to the table's manifest; that file is
-the commit. A load that dies before it leaves the table as it was, and its
-folder is simply never listed. Where the catalog has a table format with MERGE
-INTO, use that instead. One writer per table at a time.
+A table is split into parts (months or hash numbers; others have one part). A load writes
+the parts it touches with dynamic partition overwrite: Spark writes them aside and swaps
+them in when the job commits, so a load that dies before leaves the old rows readable.
+Rows that come from the parts to be replaced are checkpointed first. Where the catalog
+has a table format with MERGE INTO, use that instead. One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -18,19 +18,12 @@ from tulha.model import ENTITIES, REJECT_LOG, RUN_LOG, Entity
 from tulha.operators.calendar import build_calendar
 from tulha.operators.dedup import keep_first
 from tulha.operators.merge import upsert
+from tulha.session import cut_lineage
 from tulha.sources.star import FrameStar
 
 HASH_PARTS = 64
 ONE_PART = "all"
-
-MANIFEST = T.StructType([
-    T.StructField("version", T.LongType()),
-    T.StructField("full", T.BooleanType()),
-    T.StructField("part", T.StringType()),
-    T.StructField("path", T.StringType()),
-    T.StructField("batch", T.StringType()),
-])
-
+PART = "_part"
 
 def by_month(column: str) -> Callable[[], Column]:
     return lambda: F.coalesce(F.date_format(column, "yyyyMM"), F.lit("sem_data"))
@@ -60,56 +53,21 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.parts = {**PARTS, **(parts or {})}
 
-    # --- manifest ------------------------------------------------------------
-    def _manifest(self, table: str) -> DataFrame:
-        return self._folder(f"_manifest/{table}", MANIFEST)
-
+    # --- reading -------------------------------------------------------------
     def _folder(self, name: str, schema: T.StructType) -> DataFrame:
-        """All files below a folder; no rows when it is not there."""
+        """All rows below a folder; none when it is not there."""
         try:
-            reader = self.spark.read.schema(schema).option("recursiveFileLookup", True)
-            return reader.parquet(f"{self.root}/{name}")
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
 
-    def live_parts(self, table: str) -> dict[str, str]:
-        """Part -> folder of the current state. As many rows as the table has parts."""
-        rows = self._manifest(table)
-        base = F.coalesce(
-            rows.filter("full").agg(F.max("version")).scalar(), F.lit(0).cast("long")
-        )
-        latest = (
-            rows.filter(F.col("version") >= base)
-            .groupBy("part")
-            .agg(F.max_by("path", "version").alias("path"))
-        )
-        return {r["part"]: r["path"] for r in latest.collect() if r["path"] is not None}
-
-    def committed(self, table: str, batch: str) -> bool:
-        return not self._manifest(table).filter(F.col("batch") == batch).isEmpty()
-
-    def _commit(
-        self, table: str, version: int, full: bool, parts: dict[str, str | None], batch: str
-    ) -> None:
-        rows = [(version, full, part, path, batch) for part, path in parts.items()]
-        commit = self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
-        commit.write.mode("append").parquet(f"{self.root}/_manifest/{table}")
-
-    def _next_version(self, table: str) -> int:
-        last = self._manifest(table).agg(F.max("version")).first()[0]
-        return (last or 0) + 1
+    def _with_part(self, table: str, schema: T.StructType) -> DataFrame:
+        return self._folder(table, T.StructType([*schema, T.StructField(PART, T.StringType())]))
 
-    # --- reading -------------------------------------------------------------
-    def read(
-        self, table: str, schema: T.StructType, parts: set[str] | None = None
-    ) -> DataFrame:
-        live = self.live_parts(table)
-        paths = [p for part, p in sorted(live.items()) if parts is None or part in parts]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+    def read(self, table: str, schema: T.StructType) -> DataFrame:
+        return self._with_part(table, schema).drop(PART)
 
     def table(self, name: str) -> DataFrame:
         """A loaded target table, by name."""
@@ -122,26 +80,25 @@ class Warehouse:
         return FrameStar(self.spark, frames)
 
     # --- writing -------------------------------------------------------------
-    def _write(self, df: DataFrame, table: str, version: int) -> dict[str, str]:
-        """Write a version and return its parts with their folders."""
-        folder = f"{self.root}/{table}/v={version}"
-        part = self.parts[table]() if table in self.parts else F.lit(ONE_PART)
+    def _part(self, table: str) -> Column:
+        return self.parts[table]() if table in self.parts else F.lit(ONE_PART)
+
+    def _write(self, df: DataFrame, table: str, mode: str = "dynamic") -> None:
         # Rebalance: few files for a small part, several for a large one.
-        rows = df.withColumn("_part", part).hint("rebalance", F.col("_part"))
-        rows.write.mode("overwrite").partitionBy("_part").parquet(folder)
-        schema = T.StructType([*df.schema.fields, T.StructField("_part", T.StringType())])
-        written = self.spark.read.schema(schema).parquet(folder).select("_part").distinct()
-        return {r["_part"]: f"{folder}/_part={r['_part']}" for r in written.collect()}
-
-    def replace(
-        self, df: DataFrame, table: str, batch: str = "", keep_when_empty: bool = True
-    ) -> None:
-        """Full refresh. An empty input leaves the old rows unless told otherwise."""
-        if keep_when_empty and df.isEmpty():
+        rows = df.withColumn(PART, self._part(table)).hint("rebalance", F.col(PART))
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", mode)
+        writer.partitionBy(PART).parquet(f"{self.root}/{table}")
+
+    def replace(self, df: DataFrame, table: str, keep_when_empty: bool = True) -> None:
+        """Full refresh. An empty input leaves the old rows unless told otherwise.
+
+        A table of one part swaps it; where parts or rows may have to go altogether,
+        Spark removes the old files before it writes.
+        """
+        empty = df.isEmpty()
+        if empty and keep_when_empty:
             return
-        version = self._next_version(table)
-        parts = self._write(df, table, version)
-        self._commit(table, version, True, parts or {ONE_PART: None}, batch)
+        self._write(df, table, "static" if empty or table in self.parts else "dynamic")
 
     def append(self, df: DataFrame, table: str, batch: str) -> None:
         """Add the rows of one batch to an append-only table.
@@ -152,7 +109,7 @@ class Warehouse:
         df.write.mode("overwrite").parquet(f"{self.root}/{table}/batch={batch}")
 
     def appended(self, table: str, schema: T.StructType) -> DataFrame:
-        return self._folder(table, schema)
+        return self._folder(table, T.StructType([*schema, T.StructField("batch", T.StringType())])).drop("batch")
 
     def upsert(
         self,
@@ -161,35 +118,39 @@ class Warehouse:
         keys: list[str],
         schema: T.StructType,
         latest: list[Column],
-        batch: str = "",
         defaults: dict[str, object] | None = None,
     ) -> None:
         """Insert or replace whole rows by key; the first row in ``latest`` order wins.
 
-        Only the parts that hold a key of the batch, now or after it, are
-        rewritten. Their names (months or hash numbers) are all the driver sees.
+        Only the parts that hold a key of the batch, now or after it, are rewritten.
+        Their names (months or hash numbers) are all the driver sees. A part whose last
+        row moves to another one is removed; a run that dies before that is mended by
+        running it again, since every copy of a key is replaced.
         """
         if df.isEmpty():
             return
-        source = keep_first(df, keys, latest)
+        current = self._with_part(table, schema)
         if table in self.parts:
-            part = self.parts[table]().alias("_part")
-            current = self.read(table, schema)
-            old = current.join(source.select(*keys), keys, "left_semi").select(part)
-            touched = {r["_part"] for r in source.select(part).union(old).distinct().collect()}
+            source = keep_first(df, keys, latest)
+            old = current.join(source.select(*keys), keys, "left_semi").select(PART)
+            new = source.select(self._part(table).alias(PART))
+            touched = [r[PART] for r in new.union(old).distinct().collect()]
+            current = current.filter(F.col(PART).isin(touched))
         else:
-            touched = {ONE_PART}
-        version = self._next_version(table)
-        merged = upsert(self.read(table, schema, touched), df, keys, latest, defaults)
-        written = self._write(merged, table, version)
-        self._commit(table, version, False, {p: written.get(p) for p in touched}, batch)
-
-    def upsert_entity(
-        self, df: DataFrame, entity: Entity, latest: list[Column], batch: str = ""
-    ) -> None:
-        self.upsert(
-            df, entity.table, list(entity.key), entity.schema, latest, batch, entity.defaults
-        )
+            touched = [ONE_PART]
+        merged = cut_lineage(upsert(current.drop(PART), df, keys, latest, defaults))
+        self._write(merged, table)
+        left = {r[PART] for r in merged.select(self._part(table).alias(PART)).distinct().collect()}
+        for part in set(touched) - left:
+            self._remove(f"{self.root}/{table}/{PART}={part}")
+
+    def _remove(self, folder: str) -> None:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        hadoop.getFileSystem(conf).delete(hadoop, True)
+
+    def upsert_entity(self, df: DataFrame, entity: Entity, latest: list[Column]) -> None:
+        self.upsert(df, entity.table, list(entity.key), entity.schema, latest, entity.defaults)
 
     # --- control tables ------------------------------------------------------
     def log_run(

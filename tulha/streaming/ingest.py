@@ -102,10 +102,7 @@ def keep_balance(
     keys = ["cod_produto"]
 
     def merge(changed: DataFrame, batch_id: int) -> None:
-        batch = f"{table}-{stream_id(changed.sparkSession, checkpoint)}-{batch_id}"
-        warehouse.upsert(
-            cut_lineage(changed), table, keys, BALANCE, [F.desc("movimentos")], batch
-        )
+        warehouse.upsert(cut_lineage(changed), table, keys, BALANCE, [F.desc("movimentos")])
 
     return (
         balance_of(moves)
