@@ -533,6 +533,7 @@ TABLES["lote"] = """
 _HASHED = ", ".join(f"coalesce({c}, 'nan')" for c in _columns("pedidos_venda"))
 
 MISC = {
+    "src_nomes_produtos": f"SELECT {', '.join(_columns('produtos'))} FROM bruto_produtos",
     "src_row_hash": f"""
         SELECT num_pedido, md5(concat_ws('|', {_HASHED})) AS _row_hash FROM bruto_pedidos_venda""",
     "upsert_clientes": f"""

@@ -111,7 +111,8 @@ def test_landing_checks(spark, landing):
     (landing / "vazio.csv").write_text("")
     found = {tuple(r) for r in missing_files(spark, str(landing), ["vazio.csv", "outro.csv", "produtos.csv"]).collect()}
     assert found == {("vazio.csv", "vazio"), ("outro.csv", "ausente")}
-    assert list_files(spark, str(landing)).count() == 8  # files with content only
+    listed = {r["arquivo"]: r["tamanho_bytes"] for r in list_files(spark, str(landing)).collect()}
+    assert len(listed) == 9 and listed["vazio.csv"] == 0 and listed["produtos.csv"] > 0
 
 
 def test_load_all(spark, landing, tmp_path):

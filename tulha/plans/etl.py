@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from tulha.functions.columns import dbl
 from tulha.model import ENTITIES, STATUS_VENDA
 from tulha.operators.calendar import CALENDAR_COLUMNS, calendar_parts
-from tulha.operators.cleaning import clean, unreadable_dates
+from tulha.operators.cleaning import clean, standardize_names, unreadable_dates
 from tulha.operators.merge import upsert
 from tulha.operators.quality import (
     all_orphan_checks, ends_before_start, out_of_domain, out_of_range, predicate_checks, run_checks,
@@ -120,6 +120,14 @@ def src_row_hash(raw: RawFixture) -> DataFrame:
     return rows.select("num_pedido", row_hash(columns).alias("_row_hash"))
 
 
+def src_nomes_produtos(raw: RawFixture) -> DataFrame:
+    """Products under untidy column names, brought to the standard ones."""
+    columns = list(ENTITIES["produtos"].columns)
+    rows = raw.extract("produtos").select(*columns)
+    untidy = rows.toDF(*[f" {c.replace('_', '  ').title()}! " for c in columns])
+    return standardize_names(untidy)
+
+
 def upsert_clientes(star: Star, orders: DataFrame) -> DataFrame:
     """Customers after merging a batch with several rows per key, known and new keys."""
     batch = orders.filter("o_orderstatus = 'P'").select(

@@ -94,6 +94,7 @@ def _load_queries() -> dict[str, Query]:
     checks = [
         etl.dq_checks, etl.dq_resumo, etl.dq_integridade_validos, etl.dq_predicados,
         etl.dq_datas_ilegiveis, etl.src_row_hash, etl.x_fk_reject,
+        etl.src_nomes_produtos,
     ]
     return {
         **{f"etl_{n}_validos": _on_raw(etl.etl_valid, n) for n in ENTITIES},

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,8 +13,7 @@ def _files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return reader.option("pathGlobFilter", pattern).load(folder)
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """Name, bytes and modification time of files with content; contents are not read."""
+def _filled(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return _files(spark, folder, pattern).select(
         F.element_at(F.split("path", "/"), -1).alias("arquivo"),
         F.col("length").alias("tamanho_bytes"),
@@ -20,6 +21,18 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
     )
 
 
+def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+    """Name, bytes and modification time of files; contents are not read.
+
+    Scans skip empty files; these are listed with 0 bytes and no time.
+    """
+    found = _files(spark, folder, pattern).inputFiles()
+    names = [(unquote(path.rsplit("/", 1)[-1]),) for path in found]
+    listed = spark.createDataFrame(names, "arquivo string")
+    filled = _filled(spark, folder, pattern)
+    return listed.join(filled, "arquivo", "left").fillna(0, "tamanho_bytes")
+
+
 def missing_files(spark: SparkSession, folder: str, expected: list[str]) -> DataFrame:
     """Expected files that are absent or empty, with the reason.
 
@@ -29,7 +42,7 @@ def missing_files(spark: SparkSession, folder: str, expected: list[str]) -> Data
     only_expected = "{" + ",".join(expected) + "}"
     try:
         listed = [p.rsplit("/", 1)[-1] for p in _files(spark, folder, only_expected).inputFiles()]
-        filled = list_files(spark, folder, only_expected).select("arquivo")
+        filled = _filled(spark, folder, only_expected).select("arquivo")
     except AnalysisException:
         listed, filled = [], spark.createDataFrame([], "arquivo string")
     wanted = spark.createDataFrame(
