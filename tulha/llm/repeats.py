@@ -20,8 +20,8 @@ one row as long as they can:
 Digits are compared by hashes of 128 bits in all (64 of the group, 64 of the content; the
 last pass 128 of the window). Counting combines on the map side and members are marked by
 a join, so no group, however large, is gathered in one task. A passage that a third of
-the corpus shares is one class after the first pass. Whole texts are shuffled twice: to
-the rows that pass 2 needs, and to the marks in the end.
+the corpus shares is one class after the first pass. Whole texts are shuffled twice,
+compressed: to the rows that pass 2 needs, and to the marks in the end.
 
 Defined results: null text is empty text; texts under LENGTH bytes keep all their bytes;
 a repeated row is an occurrence of its own, so two equal rows of LENGTH bytes lose all;
@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,6 +126,25 @@ def _bytes_of(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in column.to_pylist()]
 
 
+def _compressed(rows: DataFrame) -> DataFrame:
+    """The rows with their text as a compressed column ``z``: less to shuffle and keep."""
+    others = [c for c in rows.columns if c != "text"]
+
+    def work(batch: pa.RecordBatch) -> dict:
+        press = zstandard.ZstdCompressor(level=3)
+        out = {c: column_list(batch, c) for c in others}
+        return {**out, "z": [press.compress(t) for t in _bytes_of(batch)]}
+
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([f"{c} {kinds[c]}" for c in others] + ["z binary"])
+    return map_batches(rows, schema, work)
+
+
+def _plain(batch: pa.RecordBatch) -> list[bytes]:
+    open_ = zstandard.ZstdDecompressor()
+    return [open_.decompress(z) for z in column_list(batch, "z")]
+
+
 def _anchor_rows(rows: DataFrame, length: int, gram: int) -> DataFrame:
     """(r1, r2, p, l, span, k, h): anchors of every text, places from its begin."""
 
@@ -165,7 +185,7 @@ def _near_rows(rows: DataFrame, need: DataFrame, length: int) -> DataFrame:
     def work(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {c: [] for c in ("r1", "r2", "p", "l", "span", "n", "near")}
         columns = (column_list(batch, c) for c in ("r1", "r2", "a"))
-        for text, r1, r2, runs in zip(_bytes_of(batch), *columns):
+        for text, r1, r2, runs in zip(_plain(batch), *columns):
             for run in runs:
                 begin = run["l"]
                 for name, value in (
@@ -176,7 +196,8 @@ def _near_rows(rows: DataFrame, need: DataFrame, length: int) -> DataFrame:
         return out
 
     schema = "r1 bigint, r2 bigint, p int, l int, span int, n bigint, near binary"
-    found = map_batches(rows.select("r1", "r2", "text").join(lists, ["r1", "r2"]), schema, work)
+    long = rows.where(F.octet_length("text") >= length).select("r1", "r2", "text")
+    found = map_batches(_compressed(long).join(lists, ["r1", "r2"]), schema, work)
     return stored(found.withColumn("rep", F.monotonically_increasing_id()), "near")
 
 
@@ -287,7 +308,7 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         out: dict[str, list] = {
             c: [] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
         }
-        columns = column_list(batch, "doc_id"), _bytes_of(batch), column_list(batch, "runs")
+        columns = column_list(batch, "doc_id"), _plain(batch), column_list(batch, "runs")
         for doc_id, content, runs in zip(*columns):
             spans = merged([(r["a"], r["b"]) for r in runs or ()])
             kept, last = hashlib.sha256(), 0
@@ -304,5 +325,5 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    whole = rows.join(lists, ["r1", "r2"], "left").select("doc_id", "text", "runs")
+    whole = _compressed(rows).join(lists, ["r1", "r2"], "left").select("doc_id", "z", "runs")
     return map_batches(whole, schema, work)
