@@ -248,6 +248,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.coalesce("component_id", "least").alias("component_id"),
         F.coalesce("root", "fp").alias("root"),
     )
+    # Stored, so that both sides of the last join are plain shuffles: then Spark can split
+    # the partition of a fingerprint that many copies share.
+    named = stored(named, "components")
     return rows.join(named, "fp").select("doc_id", "key", "fp", "component_id", "root")
 
 
