@@ -15,8 +15,8 @@ whatever the corpus.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, and are
 rejected; without anything to learn from every text is ``und``; ties go to the language
-first by name; a null id counts as learnable remainder-free and is not learned from;
-repeated rows give repeated results; an empty table gives an empty result; other columns
+first by name; a null id is not held out and not learned from; repeated rows give repeated
+results; an empty table gives an empty result; other columns
 are not read.
 """
 
