@@ -106,7 +106,9 @@ def ftrl(rows: list[np.ndarray], labels: list[int], epochs: int = EPOCHS) -> Mod
     times = np.zeros(SPACE, np.int64)
     for r in rows:
         times[r] += 1
-    rows = [np.append(r[times[r] >= LEAST_ROWS], SPACE) for r in rows]
+    last = np.array([SPACE], np.int32)
+    for k, r in enumerate(rows):  # in place: the features left out need not be kept
+        rows[k] = np.concatenate([r[times[r] >= LEAST_ROWS].astype(np.int32), last])
     order = np.random.default_rng(7)
     for _ in range(epochs):
         for k in order.permutation(len(rows)).tolist():
@@ -138,7 +140,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("doc_id")
-        model = ftrl([np.asarray(x, np.int64) for x in group["x"]], group["y"].tolist())
+        model = ftrl(group.pop("x").tolist(), group["y"].tolist())
         return pd.DataFrame(
             {"k": [*model.index.tolist(), SPACE], "w": [*model.weight.tolist(), model.bias]}
         )
