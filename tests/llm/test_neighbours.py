@@ -52,3 +52,21 @@ def test_odd_vectors(spark):
     assert [j for j, _ in got[20]] == [0, 1, 2]
     assert set(got) == {0, 20}
     assert neighbours.nearest(df.where("vec_id > 900")).count() == 0
+
+
+def test_blocks_do_not_follow_the_splits(spark, folder, monkeypatch):
+    """A round that is planned with other splits reads the same blocks."""
+    monkeypatch.setattr(neighbours, "BLOCK", 60)
+    index, blocks = neighbours.build(table(spark, folder, "embeddings").repartition(8))
+    assert blocks > 1
+
+    def dealt():
+        return {r.vec_id: r.block for r in index.select("vec_id", "block").collect()}
+
+    before = dealt()
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        after = dealt()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert after == before and set(before.values()) == set(range(blocks))

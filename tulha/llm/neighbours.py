@@ -7,8 +7,9 @@ alone, with an error bound of ``EPSILON`` standard deviations. A candidate is re
 with the original vector in double precision exactly where estimate plus bound reaches
 the k-th best exact product known so far.
 
-Layout: the index is dealt evenly to blocks of about ``BLOCK`` vectors, so a value that
-many rows share fills no block. The query set, one row in twenty, comes in batches of
+Layout: the index is dealt evenly to blocks of about ``BLOCK`` vectors by a place stored
+with each vector, so a value that many rows share fills no block and every round reads
+the same blocks. The query set, one row in twenty, comes in batches of
 ``BATCH``; each batch meets each block once, in rounds of growing size (1 block, then
 ``GROWTH`` times as many as before). After a round every query knows its k-th best
 product so far, and later blocks return only what reaches it, so a round returns about
@@ -127,7 +128,11 @@ def _matrix(series: pd.Series) -> np.ndarray:
 
 
 def build(rows: DataFrame) -> tuple[DataFrame, int]:
-    """The stored index (vec_id, v, code, length, own, block) and its number of blocks."""
+    """The stored index (vec_id, v, code, length, own, place), the block of each vector from
+    its stored place, and the number of blocks.
+
+    The place is written with the vector: a row number of a later scan would follow how
+    that scan is split, and rounds could differ."""
     clean = usable(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,10 +153,10 @@ def build(rows: DataFrame) -> tuple[DataFrame, int]:
 
     schema = "vec_id bigint, v array<double>, code binary, length double, own double"
     coded = clean.select(F.col("vec_id").cast("long"), "v").mapInArrow(run, schema)
-    index = stored(coded, "codes")
-    blocks = max(1, -(-index.count() // BLOCK))
     place = F.xxhash64(F.monotonically_increasing_id(), F.lit(1))
-    return index.withColumn("block", F.pmod(place, F.lit(blocks)).cast("int")), blocks
+    index = stored(coded.withColumn("place", place), "codes")
+    blocks = max(1, -(-index.count() // BLOCK))
+    return index.withColumn("block", F.pmod("place", F.lit(blocks)).cast("int")), blocks
 
 
 def _scan(asked: DataFrame, index: DataFrame, k: int) -> DataFrame:
