@@ -26,7 +26,7 @@ columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 from itertools import combinations
 
@@ -234,9 +234,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, key, fp, component_id and root (the component's fingerprint) of every row."""
-    rows = stored(fingerprints(docs), "fingerprints")
+    return rooted(stored(fingerprints(docs), "fingerprints"), links)
+
+
+def rooted(rows: DataFrame, link: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``rows`` (doc_id, key, fp) with component_id and root, by the links between classes."""
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = components(links(classes)).withColumnRenamed("node", "fp").join(classes, "fp")
+    linked = components(link(classes)).withColumnRenamed("node", "fp").join(classes, "fp")
     roots = classes.withColumnRenamed("fp", "root").join(
         linked.groupBy("root").agg(F.min("least").alias("reached")), "root"
     )
@@ -254,11 +258,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rows.join(named, "fp").select("doc_id", "key", "fp", "component_id", "root")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of each component, with all its columns: the smallest id (null ids last),
-    then the smallest key; of equal rows one."""
+def keep_one(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """One row of each component of ``named`` (doc_id, key, root), with all its columns: the
+    smallest id (null ids last), then the smallest key; of equal rows one."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
-    kept = near_duplicates(docs).groupBy("root").agg(F.min(order).alias("k"))
+    kept = named.groupBy("root").agg(F.min(order).alias("k"))
     kept = kept.select(F.col("k.key").alias("key")).distinct()
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(whole, F.col("doc_id").alias("id"), row_key().alias("key"))
