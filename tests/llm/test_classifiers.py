@@ -38,6 +38,26 @@ def test_language_held_out(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+FOREIGN = [
+    "Il vecchio pescatore usciva ogni mattina prima dell'alba e tornava soltanto quando il sole era alto sopra le colline. ",
+    "De oude visser ging elke ochtend voor zonsopgang naar buiten en kwam pas terug toen de zon hoog boven de heuvels stond. ",
+    "Stary rybak wychodził każdego ranka przed świtem i wracał dopiero wtedy gdy słońce stało wysoko nad wzgórzami. ",
+    "Vanha kalastaja lähti joka aamu ennen auringonnousua ja palasi vasta kun aurinko oli korkealla kukkuloiden yllä. ",
+]
+
+
+def test_unknown_languages_and_noise_are_rejected(spark):
+    docs = table(spark, FOLDER, "documents")
+    model = language.train(docs)
+    letters = np.random.default_rng(1).integers(97, 123, (3000, 7), np.uint8)
+    noise = " ".join(bytes(word).decode() for word in letters)
+    bad = [t * n for t in FOREIGN for n in (9, 40, 200)] + [noise[:n] for n in (1000, 4000, 20_000)]
+    assert all(model.predict(bad)[2])
+    rows = docs.where(remainder("doc_id", 4) == 2).select("text").collect()
+    for size in (20, 40, 80, 160, 1000):
+        assert np.mean(model.predict([r.text[:size] for r in rows])[2]) < 0.01
+
+
 @pytest.mark.parametrize("name, module, modulus, rest", [("toxic", toxicity, 5, 0), ("quality", quality, 3, 1)])
 def test_held_out(spark, name, module, modulus, rest):
     docs, labels = (table(spark, FOLDER, t) for t in ("documents", "labels"))

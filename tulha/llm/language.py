@@ -4,13 +4,19 @@ A text becomes a vector of hashed letter n-grams (one to three letters, runs of
 characters read as one gap): square-rooted counts times inverse document frequency,
 scaled to length one. Each language has up to ``CLUSTERS`` centroids; a text takes the
 language of the centroid with the largest cosine. It is rejected where that cosine is
-below the floor of the language: ``FLOOR`` times the cosine that all but a thousandth of
-the training sample reach, at most ``CEILING``, so that short clean texts stay.
+below the floor of the language for texts of its size. Sizes are classes by powers of two
+of the number of n-grams; the floor of a class is ``FLOOR`` times the cosine that all but
+a hundredth of its training texts reach, and never above the floor of a larger class.
+The cosines are those of sampled texts and of beginnings of them, 16 to 4,000 characters
+long, to centroids of the half of the sample without the text. A class of fewer than
+``LEAST`` texts takes the next smaller classes with it; where all smaller ones together
+have fewer, nothing with a letter is rejected. A language of fewer than ``LEAST`` texts
+has half the thousandth quantile of its cosines as floor, at most ``CEILING``.
 
 Training reads whole texts of all learnable rows once: document frequencies cover all of
 them, added up per task; the clustering gets a sample of at most about ``SAMPLE`` rows
-per language (by the hash of the id), a documented bound, so one task per language holds
-SAMPLE vectors of DIMS numbers at most. The model is languages x CLUSTERS x DIMS numbers,
+per language (by the hash of the id) and a beginning of each, a documented bound, so one
+task per language holds 2 x SAMPLE vectors of DIMS numbers at most. The model is languages x CLUSTERS x DIMS numbers,
 whatever the corpus.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, and are
@@ -38,8 +44,10 @@ from tulha.llm.common import (
 DIMS = 4096
 CLUSTERS = 4
 SAMPLE = 1000
-FLOOR = 0.5
+FLOOR = 0.6
 CEILING = 0.15
+CLASSES = 40
+LEAST = 100
 UNKNOWN = "und"
 FOLD = (4, 2)  # modulus and held-out remainder
 
@@ -78,7 +86,7 @@ class Model:
     languages: list[str]  # by centroid
     centroids: np.ndarray
     idf: np.ndarray
-    floors: np.ndarray  # by centroid
+    floors: np.ndarray  # by centroid and class of size
 
     def vectors(self, found: np.ndarray) -> np.ndarray:
         return scaled(np.sqrt(found) * self.idf)
@@ -93,7 +101,19 @@ class Model:
         best = cosine.argmax(axis=1)
         score = np.clip(cosine[np.arange(len(texts)), best], 0, 1).astype(float) * lettered
         names = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)]
-        return names, score, ~lettered | (score < self.floors[best])
+        return names, score, ~lettered | (score < self.floors[best, sizes(found)])
+
+
+def sizes(found: np.ndarray) -> np.ndarray:
+    """The class of each row of counts."""
+    total = np.maximum(found.sum(axis=1, dtype=np.float64), 1)
+    return np.minimum(np.log2(total).astype(int), CLASSES - 1)
+
+
+def beginning(text: str, place: int) -> str:
+    """16 to 4,000 characters, or nothing where that would be the whole text."""
+    size = (16 + place // 8 % 16) << place % 8
+    return text[:size] if size < len(text) else ""
 
 
 def scaled(rows: np.ndarray) -> np.ndarray:
@@ -117,6 +137,27 @@ def clustered(rows: np.ndarray, clusters: int, rounds: int = 10) -> np.ndarray:
     return found
 
 
+def floors(vectors: np.ndarray, size: np.ndarray, owner: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """The floor of each class of size, from texts and their beginnings; ``owner`` tells
+    which text a row belongs to."""
+    cosine = np.zeros(len(vectors))
+    for half in (0, 1):
+        own = owner % 2 == half
+        if own.any() and (whole & ~own).any():
+            centers = clustered(vectors[whole & ~own], CLUSTERS)
+            cosine[own] = (vectors[own] @ centers.T).max(axis=1)
+    if len(vectors) < LEAST:
+        centers = clustered(vectors[whole], CLUSTERS)
+        least = np.quantile((vectors[whole] @ centers.T).max(axis=1), 0.001)
+        return np.full(CLASSES, min(0.5 * float(least), CEILING))
+    out = np.zeros(CLASSES)
+    for k in range(CLASSES):
+        first = next((j for j in range(k, -1, -1) if ((size >= j) & (size <= k)).sum() >= LEAST), None)
+        if first is not None:
+            out[k] = FLOOR * np.quantile(cosine[(size >= first) & (size <= k)], 0.01)
+    return np.minimum.accumulate(out[::-1])[::-1]
+
+
 def train(docs: DataFrame) -> Model:
     """Learn from text and lang of rows outside the held-out remainder; see the module."""
     known = docs.select("doc_id", "text", "lang").where(
@@ -124,7 +165,7 @@ def train(docs: DataFrame) -> Model:
     )
     totals = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not totals:
-        return Model([], np.zeros((0, DIMS)), np.ones(DIMS), np.zeros(0))
+        return Model([], np.zeros((0, DIMS)), np.ones(DIMS), np.zeros((0, CLASSES)))
     limits = {k: int(min(1.0, SAMPLE / n) * (1 << 20)) for k, n in totals.items()}
     place = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 20)).alias("place")
 
@@ -142,7 +183,10 @@ def train(docs: DataFrame) -> Model:
             frequency += (found > 0).sum(axis=0)
             rows += len(kept)
             chosen = [k for k, (_, lang, at) in enumerate(kept) if at < limits[lang]]
-            yield _sums([kept[k][1] for k in chosen], found[chosen], [0] * len(chosen))
+            names = [kept[k][1] for k in chosen]
+            yield _sums(names, found[chosen], [2 * kept[k][2] for k in chosen])
+            begun = counts([beginning(kept[k][0], kept[k][2]) for k in chosen])
+            yield _sums(names, begun, [2 * kept[k][2] + 1 for k in chosen])
         yield _sums([None], frequency[None], [rows])
 
     out = stored(
@@ -163,21 +207,26 @@ def train(docs: DataFrame) -> Model:
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         found = np.array(group["v"].tolist(), np.float32)
-        vectors = scaled(np.sqrt(found[found.any(axis=1)]) * idf)
-        if not len(vectors):
+        some = found.any(axis=1)
+        found, number = found[some], group["n"].to_numpy()[some]
+        vectors, whole = scaled(np.sqrt(found) * idf), number % 2 == 0
+        if not whole.any():
             return pd.DataFrame({"lang": [], "v": [], "floor": []}, dtype=object)
-        centers = clustered(vectors, CLUSTERS)
-        floor = FLOOR * float(np.quantile((vectors @ centers.T).max(axis=1), 0.001))
-        floor = min(floor, CEILING)
+        centers = clustered(vectors[whole], CLUSTERS)
+        floor = floors(vectors, sizes(found), number // 256, whole).tolist()
         return pd.DataFrame(
-            {"lang": group["lang"].iloc[0], "v": [c.tolist() for c in centers], "floor": floor}
+            {
+                "lang": group["lang"].iloc[0],
+                "v": [c.tolist() for c in centers],
+                "floor": [floor] * len(centers),
+            }
         )
 
     fitted = (
         out.where(F.col("lang").isNotNull())
-        .select("lang", "v")
+        .select("lang", "v", "n")
         .groupBy("lang")
-        .applyInPandas(fit, "lang string, v array<float>, floor double")
+        .applyInPandas(fit, "lang string, v array<float>, floor array<double>")
         .collect()
     )
     fitted.sort(key=lambda r: r["lang"])
@@ -185,7 +234,7 @@ def train(docs: DataFrame) -> Model:
         [r["lang"] for r in fitted],
         np.array([r["v"] for r in fitted], np.float32).reshape(-1, DIMS),
         idf,
-        np.array([r["floor"] for r in fitted]),
+        np.array([r["floor"] for r in fitted]).reshape(-1, CLASSES),
     )
 
 
