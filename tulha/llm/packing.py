@@ -7,6 +7,10 @@ and attention cost (sum of squared lengths). Pieces go, longest first, to the op
 sequence that fits them under every capacity and leaves the smallest weighted norm of
 the residuals.
 
+With the default limits, which op8 and the pipeline use, only the tokens bind: a piece has
+at least one token and a sum of squares never exceeds the squared sum, so documents and
+attention cost only weigh in the norm. Smaller limits bind where a caller gives them.
+
 Scale: texts are read once; what is stored and shuffled is one short row per piece.
 Pieces are dealt by a hash of their place to packs of about ``PACK`` pieces, each packed
 by one task. A pack leaves less than a sequence's worth of room in its last sequences, a
