@@ -47,6 +47,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+HOT = 1000
+
+
+def spread_join(rows: DataFrame, one: DataFrame, key: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` (many per key) with ``one`` (one row per key; _n counts the
+    key's rows). A key with over 1 / HOT of the ``total`` rows would load one task; there
+    are about HOT such keys at most, so their rows of ``one`` are broadcast. All other keys
+    are shuffled."""
+    hot = F.broadcast(one.where(F.col("_n") * HOT > total).drop("_n"))
+    rest = rows.join(hot.select(key), key, "left_anti").join(one.drop("_n"), key)
+    return rows.join(hot, key).unionByName(rest)
+
+
+def joined_hot(rows: DataFrame, one: DataFrame, key: str) -> DataFrame:
+    """``spread_join`` of stored tables; counts the rows of each key itself."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    one = stored(one.join(counts, key), "counted")
+    return spread_join(rows, one, key, rows.count())
+
+
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo; null ids give null."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tulha.llm.common import column_list, map_batches, stored, texts_of
+from tulha.llm.common import column_list, joined_hot, map_batches, spread_join, stored, texts_of
 
 RADIUS = 2
 SHINGLE = 3
@@ -211,15 +211,15 @@ def links(classes: DataFrame, shard: int = SHARD) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b), root the smallest node reachable."""
     edges = stored(edges, "edges")
-    seen = None
+    seen, total = None, edges.count()
     while True:
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("_n"))
+        large = spread_join(both, least, "a", total).where("b > a")
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("_n"))
         small = (
-            large.join(least, "a")
+            spread_join(large, least, "a", total)
             .select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("s"))
             .select(F.col("s.b").alias("a"), F.col("s.m").alias("b"))
             .where("a <> b")
@@ -229,7 +229,7 @@ def components(edges: DataFrame) -> DataFrame:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
         if state == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = state
+        seen, total = state, state[0]
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -252,10 +252,13 @@ def rooted(rows: DataFrame, link: Callable[[DataFrame], DataFrame]) -> DataFrame
         F.coalesce("component_id", "least").alias("component_id"),
         F.coalesce("root", "fp").alias("root"),
     )
-    # Stored, so that both sides of the last join are plain shuffles: then Spark can split
-    # the partition of a fingerprint that many copies share.
-    named = stored(named, "components")
-    return rows.join(named, "fp").select("doc_id", "key", "fp", "component_id", "root")
+    named = joined_hot(rows, stored(named, "components"), "fp")
+    return named.select("doc_id", "key", "fp", "component_id", "root")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each component of near duplicates; see keep_one."""
+    return keep_one(docs, near_duplicates(docs))
 
 
 def keep_one(docs: DataFrame, named: DataFrame) -> DataFrame:
