@@ -5,9 +5,10 @@ is written as Parquet and read again by ``run``. All stages but the last return
 columns of ``documents``.
 
 - language: documents whose language is rejected go (also those without a letter).
-- near_duplicates: texts whose sets of 5-word shingles have a Jaccard similarity of 0.8 or
-  more are linked; one document of each component stays, the one with the smallest id; of
-  rows that repeat id and text, one stays. (op4 keeps SimHash over 3-word shingles.)
+- near_duplicates: documents whose SimHash fingerprints over 3-word shingles differ in at
+  most 2 bits are linked (``simhash``, with its own shingle length and distance); one
+  document of each component stays, the one with the smallest id; of rows that repeat id
+  and text, one stays.
 - decontamination: documents that hold a benchmark item go.
 - secrets: found spans are replaced, no document goes.
 - packing: every piece of every document gets its sequence.
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tulha.llm import decontaminate, language, nearcopies, packing, secrets
+from tulha.llm import decontaminate, language, packing, secrets, simhash
 from tulha.llm.common import prepare, stored, table
 
 
@@ -32,7 +33,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return nearcopies.one_of_each(docs)
+    return simhash.one_of_each(docs)
 
 
 def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
