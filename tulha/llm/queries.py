@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tulha.llm import (
-    decontaminate, language, neighbours, packing, periodic, pii, quality, repeats, secrets, simhash,
-    toxicity, vectorcodes,
+    decontaminate, language, minhash, neighbours, packing, periodic, pii, quality, repeats, secrets,
+    simhash, toxicity, vectorcodes,
 )
 from tulha.llm.common import table
 
@@ -69,11 +69,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.report(table(spark, sf_dir, "documents"), periodic.looped)
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.report(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     own = (
         op1_secrets, op2_language, op3_personal_data, op4_simhash, op5_decontamination,
         op6_repeats, op7_toxicity, op8_packing, op9_neighbours, op10_quality, op11_vector_codes,
-        op12_periodic_runs,
+        op12_periodic_runs, op13_minhash,
     )
     return {**{f.__name__: f for f in own}, "pipeline": corpus_pipeline.run}
 

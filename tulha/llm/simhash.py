@@ -237,8 +237,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return rooted(stored(fingerprints(docs), "fingerprints"), links)
 
 
-def rooted(rows: DataFrame, link: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``rows`` (doc_id, key, fp) with component_id and root, by the links between classes."""
+def rooted(
+    rows: DataFrame, link: Callable[[DataFrame], DataFrame], more: DataFrame | None = None
+) -> DataFrame:
+    """``rows`` (doc_id, key, fp) with component_id and root, by the links between classes,
+    and with the columns of ``more`` (one row per fp)."""
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     linked = components(link(classes)).withColumnRenamed("node", "fp").join(classes, "fp")
     roots = classes.withColumnRenamed("fp", "root").join(
@@ -252,8 +255,9 @@ def rooted(rows: DataFrame, link: Callable[[DataFrame], DataFrame]) -> DataFrame
         F.coalesce("component_id", "least").alias("component_id"),
         F.coalesce("root", "fp").alias("root"),
     )
-    named = joined_hot(rows, stored(named, "components"), "fp")
-    return named.select("doc_id", "key", "fp", "component_id", "root")
+    if more is not None:
+        named = named.join(more, "fp")
+    return joined_hot(rows, stored(named, "components"), "fp")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
