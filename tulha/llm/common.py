@@ -48,23 +48,31 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 HOT = 1000
+SALTS = 16
 
 
-def spread_join(rows: DataFrame, one: DataFrame, key: str, total: int) -> DataFrame:
-    """Inner join of ``rows`` (many per key) with ``one`` (one row per key; _n counts the
-    key's rows). A key with over 1 / HOT of the ``total`` rows would load one task; there
-    are about HOT such keys at most, so their rows of ``one`` are broadcast. All other keys
-    are shuffled."""
-    hot = F.broadcast(one.where(F.col("_n") * HOT > total).drop("_n"))
-    rest = rows.join(hot.select(key), key, "left_anti").join(one.drop("_n"), key)
+def joined_hot(rows: DataFrame, one: DataFrame, key: str) -> DataFrame:
+    """Inner join of ``rows`` (many per key) with ``one`` (one row per key), both stored.
+
+    A key that holds over 1 / HOT of the rows would load one task; there are fewer than HOT
+    such keys, so their rows of ``one`` are broadcast. All other keys are shuffled.
+    """
+    total = rows.count()
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") * HOT > total)
+    hot = F.broadcast(stored(one.join(F.broadcast(counts.select(key)), key), "hot"))
+    rest = rows.join(hot.select(key), key, "left_anti").join(one, key)
     return rows.join(hot, key).unionByName(rest)
 
 
-def joined_hot(rows: DataFrame, one: DataFrame, key: str) -> DataFrame:
-    """``spread_join`` of stored tables; counts the rows of each key itself."""
-    counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    one = stored(one.join(counts, key), "counted")
-    return spread_join(rows, one, key, rows.count())
+def joined_salted(rows: DataFrame, one: DataFrame, key: str, by: str) -> DataFrame:
+    """Inner join of ``rows`` (many per key) with ``one`` (one row per key): the rows of a
+    key are dealt to SALTS tasks by the hash of ``by``, and ``one`` goes to each of them.
+
+    For small rows and tables that are joined often: one plain join, no counting before."""
+    salt = F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = rows.withColumn("_salt", salt)
+    return salted.join(one.withColumn("_salt", every), [key, "_salt"]).drop("_salt")
 
 
 def remainder(doc_id: str, modulus: int) -> Column:

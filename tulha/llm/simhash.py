@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tulha.llm.common import column_list, joined_hot, map_batches, spread_join, stored, texts_of
+from tulha.llm.common import column_list, joined_hot, joined_salted, map_batches, stored, texts_of
 
 RADIUS = 2
 SHINGLE = 3
@@ -211,15 +211,15 @@ def links(classes: DataFrame, shard: int = SHARD) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b), root the smallest node reachable."""
     edges = stored(edges, "edges")
-    seen, total = None, edges.count()
+    seen = None
     while True:
         both = edges.union(edges.select("b", "a"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("_n"))
-        large = spread_join(both, least, "a", total).where("b > a")
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = joined_salted(both, least, "a", "b").where("b > a")
         large = large.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("_n"))
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
-            spread_join(large, least, "a", total)
+            joined_salted(large, least, "a", "b")
             .select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("s"))
             .select(F.col("s.b").alias("a"), F.col("s.m").alias("b"))
             .where("a <> b")
@@ -229,7 +229,7 @@ def components(edges: DataFrame) -> DataFrame:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
         if state == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen, total = state, state[0]
+        seen = state
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -248,7 +248,7 @@ def rooted(
         linked.groupBy("root").agg(F.min("least").alias("reached")), "root"
     )
     roots = roots.select("root", F.least("least", "reached").alias("component_id"))
-    inner = linked.join(roots, "root").select("fp", "root", "component_id")
+    inner = joined_salted(linked, roots, "root", "fp").select("fp", "root", "component_id")
     whole = roots.select(F.col("root").alias("fp"), "root", "component_id").unionByName(inner)
     named = classes.join(whole, "fp", "left").select(
         "fp",
