@@ -1,15 +1,18 @@
 """Secret scan: fixed patterns, and tokens that read like random strings.
 
 Two character Markov models, one of random strings and one of ordinary identifiers, are
-compared by the log-likelihood ratio of a token's characters. Training samples are
-labelled by the fixed patterns: what they find is random, what a sample of texts holds
-beside it is ordinary (in its own case and in capitals). Both samples are bounded by
-documented parameters (``RANDOM_TOKENS``, ``ORDINARY_TEXTS``). The model is one table
-over pairs of symbols, so its size does not depend on the corpus.
+compared by the log-likelihood ratio of a token's characters. Random strings are what the
+fixed patterns find. Ordinary are the words that a sample of texts holds beside it, in their
+own case and in capitals; identifiers that are made of such words and of ``NAMING``, joined
+in the usual ways (camel case, underscores, dashes, paths, numbers at the end); and times
+and dates as they stand in names of files. The samples are bounded by documented parameters
+(``RANDOM_TOKENS``, ``ORDINARY_TEXTS``, ``IDENTIFIERS``). The model is one table over pairs
+of symbols, so its size does not depend on the corpus.
 
 Everything on the main path is a DataFrame expression: matches come from
 ``regexp_extract_all``, their places from the lengths of the gaps that ``split`` leaves,
-the ratio from a fold over the characters. No shuffle touches the texts.
+the ratio from a fold over the characters. Work grows with a text's length and the number
+of its matches (times its logarithm, for sorting them). No shuffle touches the texts.
 
 Defined results: null text reads as empty; a text without spans has the hash of the empty
 string; without a single random sample the model finds nothing; spans of the model never
@@ -20,6 +23,7 @@ empty result; other columns of the documents are left alone.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,37 +41,84 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 SYMBOLS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 RANDOM_TOKENS = 20_000
 ORDINARY_TEXTS = 2_000
+IDENTIFIERS = 20_000
+BLOCK = 64
 LEAST_RATIO = 12.0  # nats for the whole token
 LEAST_MEAN = 0.25  # nats per character
 
 
+#: Words that names of programs, files and settings are often made of; a labelled sample.
+NAMING = """
+    get set is has add new old make create build find load save read write open close start
+    stop run init update delete remove insert append count size length index item items list
+    map table row column key value name type kind id code data date time day month year user
+    admin account client server service request response error message event handler listener
+    factory builder manager provider context session config option default property attribute
+    element identifier node tree path file folder directory source target input output buffer
+    stream reader writer parser format string number integer boolean array object class method
+    function module package project example test mock abstract base common util helper core
+    controller model view page form field button image script
+    version release backup archive temp cache store record query result filter order group
+    join merge split first last next previous left right top bottom max min total average
+    over the and with for from into
+""".split()
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """The leftmost non-overlapping matches."""
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named inside."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def _running(values: Column, start: int, combine: Callable[[Column, Column], Column]) -> Column:
+    """Each whole number combined with all before it.
+
+    In blocks of BLOCK: a fold that adds to an array would copy the array at each step.
+    """
+
+    def folded(part: Column) -> Column:
+        return F.aggregate(part, F.lit(start), combine)
+
+    def upto(count: Column) -> Column:
+        return F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.expr("cast(array() as array<int>)"))
+
+    def block(all_: Column, before: Column, k: Column) -> Column:
+        both = F.struct(
+            folded(F.slice(before, F.lit(1), k - 1)).alias("before"),
+            F.slice(all_, (k - 1) * BLOCK + 1, F.lit(BLOCK)).alias("part"),
+        )
+        return _let(both, lambda b: F.transform(
+            upto(F.size(b["part"])),
+            lambda i: combine(b["before"], folded(F.slice(b["part"], F.lit(1), i))),
+        ))
+
+    def blocks(all_: Column) -> Column:
+        numbers = upto(F.ceil(F.size(all_) / BLOCK).cast("int"))
+        whole = F.transform(numbers, lambda k: folded(F.slice(all_, (k - 1) * BLOCK + 1, F.lit(BLOCK))))
+        return _let(whole, lambda before: F.flatten(F.transform(numbers, lambda k: block(all_, before, k))))
+
+    return _let(values, blocks)
+
+
 def _places(text: Column, pattern: str, found: Column) -> Column:
     """(start, end) of each match, from the lengths of gaps and matches."""
-    empty = F.expr("cast(array() as array<struct<start:int,end:int>>)")
     gaps = F.transform(F.split(text, pattern, -1), F.length)
     steps = F.arrays_zip(gaps.alias("gap"), F.transform(found, F.length).alias("size"))
-    folded = F.aggregate(
-        F.filter(steps, lambda s: s["size"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda a, s: F.struct(
-            (a["at"] + s["gap"] + s["size"]).alias("at"),
-            F.concat(
-                a["out"],
-                F.array(
-                    F.struct(
-                        (a["at"] + s["gap"]).alias("start"),
-                        (a["at"] + s["gap"] + s["size"]).alias("end"),
-                    )
-                ),
-            ).alias("out"),
-        ),
-    )
-    return F.when(F.size(found) > 0, folded["out"]).otherwise(empty)
+    steps = F.filter(steps, lambda s: s["size"].isNotNull())
+    ends = _running(F.flatten(F.transform(steps, lambda s: F.array(s["gap"], s["size"]))), 0, lambda a, x: a + x)
+    places = _let(ends, lambda e: F.transform(
+        F.sequence(F.lit(0), F.size(e) - 2, F.lit(2)),
+        lambda k: F.struct(F.get(e, k).alias("start"), F.get(e, k + 1).alias("end")),
+    ))
+    return F.when(F.size(found) > 0, places).otherwise(F.expr("cast(array() as array<struct<start:int,end:int>>)"))
 
 
 def _spans(kind: int, places: Column) -> Column:
@@ -176,7 +227,44 @@ def train(docs: DataFrame) -> list[float] | None:
         F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=.-]+"), F.lit(0))).alias("token")
     ).where(~(F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]")))
     both = words.select(F.explode(F.array("token", F.upper("token"))).alias("token"))
-    return log_ratios(pairs, _pairs(both))
+    ordinary, named = _pairs(both), _pairs(identifiers(words))
+    weight = max(1, sum(ordinary.values()) // sum(named.values()))  # as much as the words
+    for pair, count in named.items():
+        ordinary[pair] = ordinary.get(pair, 0) + weight * count
+    return log_ratios(pairs, ordinary)
+
+
+def identifiers(words: DataFrame) -> DataFrame:
+    """(token) names as programs and files have them, joined of the words of ``words``
+    (token) and of NAMING, and times and dates: 2 * IDENTIFIERS numbers choose the parts."""
+    spark = words.sparkSession
+    plain = words.where(F.col("token").rlike("^[A-Za-z]{2,12}$")).select(F.lower("token").alias("word"))
+    some = plain.distinct().orderBy(F.xxhash64("word"), "word").limit(2 * len(NAMING))
+    vocabulary = sorted(r["word"] for r in some.collect())
+    choice = F.lit(NAMING + vocabulary)
+    drawn = [
+        F.get(choice, F.pmod(F.xxhash64("id", F.lit(k)), F.lit(len(NAMING) + len(vocabulary))).cast("int"))
+        for k in range(4)
+    ]
+    parts = F.slice(F.array(*drawn), 1, (2 + F.pmod(F.xxhash64("id", F.lit(9)), F.lit(3))).cast("int"))
+    upper, title = F.transform(parts, F.upper), F.transform(parts, F.initcap)
+    number = F.pmod(F.xxhash64("id", F.lit(10)), F.lit(1000)).cast("string")
+    lower = F.array_join(parts, "_")
+    styles = [
+        F.array_join(title, ""), F.concat(F.get(parts, F.lit(0)), F.array_join(F.slice(title, 2, 3), "")),
+        lower, F.array_join(upper, "_"), F.array_join(parts, "-"), F.array_join(parts, "/"),
+        F.array_join(title, "/"), F.concat(lower, F.lit("_"), number), F.concat(F.array_join(parts, "-"), F.lit("-"), number),
+        F.concat(F.lit("/"), F.array_join(parts, "/"), F.lit("/")), F.concat(F.array_join(title, ""), number),
+        F.concat(F.lit("__"), lower, F.lit("__")),
+    ]
+    style = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(len(styles))).cast("int")
+    names = spark.range(IDENTIFIERS).select(F.get(F.array(*styles), style).alias("token"))
+    moment = F.timestamp_seconds(F.pmod(F.xxhash64("id", F.lit(12)), F.lit(2_000_000_000)))
+    shapes = ["yyyy-MM-dd", "yyyy-MM-dd-HH-mm-ss", "yyyyMMdd", "yyyy_MM_dd", "yyyy/MM/dd", "HH-mm-ss", "yyyyMMddHHmmss"]
+    shape = F.pmod(F.xxhash64("id", F.lit(13)), F.lit(len(shapes))).cast("int")
+    dated = F.get(F.array(*[F.date_format(moment, x) for x in shapes]), shape)
+    times = spark.range(IDENTIFIERS // 4).select(F.concat_ws("-", dated, drawn[0]).alias("token"))
+    return names.unionByName(times)
 
 
 def _ratio(token: Column, ratios: list[float]) -> Column:
@@ -214,20 +302,48 @@ def scan(docs: DataFrame, ratios: list[float] | None) -> DataFrame:
         lambda z: F.struct(z["p"].alias("p"), F.length(z["t"]).alias("n"), _ratio(z["t"], ratios).alias("r")),
     )
     rows = rows.withColumn("_scored", scored)
-    kept = F.filter(
-        "_scored",
-        lambda z: (z["r"] >= LEAST_RATIO)
-        & (z["r"] >= LEAST_MEAN * z["n"])
-        & ~F.exists(
-            "_base", lambda b: (b["start"] < z["p"]["end"]) & (b["end"] > z["p"]["start"])
-        ),
-    )
-    added = _spans(3, F.transform(kept, lambda z: z["p"]))
+    likely = F.filter("_scored", lambda z: (z["r"] >= LEAST_RATIO) & (z["r"] >= LEAST_MEAN * z["n"]))
+    kept = _apart(F.transform(likely, lambda z: z["p"]), F.col("_base"))
+    added = _spans(3, kept)
     return rows.withColumn("_spans", F.array_sort(F.concat("_base", added))).drop(
         "_token", "_place", "_scored"
     )
 
 
+def _apart(places: Column, base: Column) -> Column:
+    """The places (which do not overlap one another) that touch no span of ``base``.
+
+    Both are sorted by start; a place is kept when the base spans before it end before it,
+    and those behind it start behind its end.
+    """
+    far = (1 << 31) - 1
+
+    def item(start: Column, token: int, end: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(token).alias("token"), end.alias("end"))
+
+    items = F.array_sort(
+        F.concat(
+            F.transform(base, lambda b: item(b["start"], 0, b["end"])),
+            F.transform(places, lambda p: item(p["start"], 1, p["end"])),
+        )
+    )
+
+    def free(items: Column) -> Column:
+        ends = F.transform(items, lambda x: F.when(x["token"] == 0, x["end"]).otherwise(0))
+        starts = F.transform(F.reverse(items), lambda x: F.when(x["token"] == 0, -x["start"]).otherwise(-far))
+        around = F.struct(
+            _running(ends, 0, larger).alias("before"),
+            F.reverse(_running(starts, -far, larger)).alias("behind"),
+        )
+        kept = _let(around, lambda r: F.filter(
+            items,
+            lambda x, i: (x["token"] == 1) & (F.get(r["before"], i) <= x["start"]) & (-F.get(r["behind"], i) >= x["end"]),
+        ))
+        return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+
+    return _let(items, free)
+
+
 def joined(spans: Column) -> Column:
     """kind:start:end, comma-joined."""
     kinds = F.lit(list(KINDS))
@@ -262,24 +378,29 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     columns = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), "text")
     found = scan(rows, train(docs.select("doc_id", "text")))
-    text = F.col("_text")
-    folded = F.aggregate(
-        "_spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"),
-            F.when(s["start"] < a["at"], a["out"])
-            .otherwise(
-                F.concat(
-                    a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mark)
-                )
-            )
-            .alias("out"),
-        ),
-    )
-    rest = F.concat(F.col("_cut.out"), F.substring(text, F.col("_cut.at") + 1, F.length(text)))
-    found = found.withColumn("_cut", folded).withColumn(
-        "_clean", F.when(F.size("_spans") > 0, rest).otherwise(F.col("text"))
+    def cut(wide: Column, gap: Column) -> Column:
+        # Four bytes a character: a cut does not count its way through the text. A letter in
+        # front keeps the decoder from taking a first U+FEFF for a byte order mark.
+        size = gap["end"] - gap["start"]
+        part = F.concat(F.lit(b"\0\0\0x"), F.substring(wide, 4 * gap["start"] + 1, 4 * size))
+        return F.substring(F.decode(part, "UTF-32"), F.lit(2), size)
+
+    end = F.length("_text")
+    close = F.struct(end.alias("start"), F.lit(len(KINDS)).alias("rank"), end.alias("end"))
+
+    def between(spans: Column) -> Column:
+        """The stretches before, between and behind spans; spans that overlap have none."""
+        ends = _running(F.transform(spans, lambda s: s["end"]), 0, larger)
+        gaps = _let(ends, lambda e: F.transform(spans, lambda s, k: F.struct(
+            F.coalesce(F.get(e, k - 1), F.lit(0)).alias("start"), s["start"].alias("end")
+        )))
+        return F.filter(gaps, lambda g: g["start"] <= g["end"])
+
+    gaps = _let(F.concat("_spans", F.array(close)), between)
+    wide = F.encode(F.col("_text"), "UTF-32")
+    pieces = _let(wide, lambda w: F.transform(gaps, lambda g: cut(w, g)))
+    found = found.withColumn(
+        "_clean", F.when(F.size("_spans") > 0, F.array_join(pieces, mark)).otherwise(F.col("text"))
     )
     new = {"text": F.col("_clean")}
     if "n_chars" in columns:
