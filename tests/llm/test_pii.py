@@ -107,3 +107,87 @@ def test_field_learns_kinds(spark):
     text = "or 10.20.30.41 and me.99@mail3.example.com to +1 (212) 555-0199 is 4485275742308327 x"
     found = [s for island in pii.islands(text) for s in model.decode(text, island)]
     assert sorted(found, key=lambda s: s[1]) == base(text)
+
+
+def test_best_reading_equals_enumeration():
+    draw = np.random.default_rng(4)
+    text, island = "12 34 56 78 90", [(3 * k, 3 * k + 2) for k in range(5)]
+    segments = pii.lattice(text, island)
+    names = sorted({n for _, _, f in segments for n in f})
+    for _ in range(50):
+        model = pii.Model({n: k for k, n in enumerate(names)}, draw.normal(size=(4, len(names))))
+        scores = {(a, b): s for (a, b, _), s in zip(segments, model.scores(segments))}
+
+        def readings(at):
+            if at == 5:
+                yield 0.0, ()
+            for end in range(at + 1, 6):
+                for rest, chosen in readings(end):
+                    if end == at + 1:
+                        yield rest, chosen
+                    for kind in range(4):
+                        yield rest + scores[at, end][kind], ((kind, at, end), *chosen)
+
+        _, best = max(readings(0))
+        want = [
+            (pii.KINDS[k], island[a][0], island[b - 1][1]) for k, a, b in best if scores[a, b][k] >= pii.MARGIN
+        ]
+        assert model.decode(text, island) == want
+
+
+def test_long_islands_are_read_whole(spark):
+    """A number that lies across any count of tokens is found, and the state is not cut."""
+    model = pii.train(table(spark, "/root/testdata/sf0.1", "documents"))
+    text = "7 " * 5000 + "x. or 4111.1111.1111.1111 is " + "7 " * 100
+    island = next(pii.islands("7 " * 5000))
+    assert len(island) == 5000
+    assert model.decode("7 " * 5000, island) == []
+    assert ("card", text.index("4111"), text.index(" is ")) in pii.all_spans(text, [], model)
+    assert pii.all_spans("@" * 100_000, [], model) == []
+    assert list(pii.islands("a" * 100_000 + "@")) == [[(0, 100_000)]]
+
+
+def test_changed_spans_of_held_out_documents(spark):
+    """At least 0.9 of spans written in other ways are found, unlike ones stay."""
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    model = pii.train(docs.where("doc_id % 3 <> 0"))
+    draw = random.Random(5)
+    found, flagged, tried, others = 0, 0, 0, 0
+    for row in docs.where("doc_id % 3 = 0").collect():
+        text = row.text or ""
+        for kind, a, b in pii.base_spans(text)[:3]:
+            before, after = text[max(0, a - 40) : a], text[b : b + 40]
+            if pii.base_spans(before) or pii.base_spans(after):
+                continue
+            new = pii.changed(kind, text[a:b], draw)
+            whole = before + new + after
+            base_ = pii.base_spans(whole)
+            tried += 1
+            found += any(x < len(before) + len(new) and y > len(before) for k, x, y in pii.all_spans(whole, base_, model) if k == kind)
+            other = before + pii.unlike(draw) + after
+            others += 1
+            flagged += len(pii.all_spans(other, [], model)) > 0
+    assert tried > 200
+    assert found >= 0.9 * tried, (found, tried)
+    assert flagged <= 0.05 * others, (flagged, others)
+
+
+@pytest.mark.parametrize("kind, span", [
+    ("phone", "(555) 123-4567"), ("phone", "555-123-4567"), ("phone", "0049 30 1234567"),
+    ("card", "4111.1111.1111.1111"), ("card", "4111/1111/1111/1111"), ("email", "john (at) example.com"),
+])
+def test_spans_beyond_the_patterns(spark, kind, span):
+    model = _model(spark)
+    text = f"or so {span} and then"
+    assert pii.all_spans(text, pii.base_spans(text), model) == [(kind, 6, 6 + len(span))]
+    text = "write to john@localhost now"
+    assert pii.all_spans(text, [], model) == []
+
+
+_trained = []
+
+
+def _model(spark):
+    if not _trained:
+        _trained.append(pii.train(table(spark, "/root/testdata/sf0.1", "documents")))
+    return _trained[0]
