@@ -62,3 +62,11 @@ def test_whole_table_equals_brute_force(spark, folder):
 
 def test_empty_table(spark):
     assert got(frame(spark, []), 40) == []
+
+
+@pytest.mark.parametrize("text", ["a" * 300_000, "ab\n" * 100_000 + "x" * 500 + "ab\n" * 900])
+def test_very_long_text_of_one_loop(spark, text):
+    """A stretch per byte is merged before it meets the text."""
+    rows = got(frame(spark, [(1, text), (2, "b" * 600 + "c")]), repeats.LENGTH)
+    assert rows[0][:4] == ("1", len(text), len(text), 1)
+    assert rows[1][:4] == ("2", 601, 600, 1)

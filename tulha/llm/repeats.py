@@ -1,10 +1,13 @@
-"""Removal of long repeated strings by a depth-limited radix sort of suffixes.
+"""Removal of long repeated strings: equal windows are found by narrowing groups.
 
-A suffix matters only through its first ``LENGTH`` bytes, its window. Windows are put in
-groups by most-significant-digit passes, each pass splitting the groups of the one before
-by more of the window's content, until members of a group are equal windows. Members that
-are alone are dropped as early as possible, and runs of neighbouring windows travel as
-one row as long as they can:
+A suffix matters only through its first ``LENGTH`` bytes, its window. The plain radix sort
+by most-significant-digit passes starts with a row for each byte of the corpus, some
+16 bytes of digit and place for one byte of text, which is over six times what a pass may
+shuffle here. So digits are not taken from the front, and nothing is put in order: a digit
+is content that equal windows have in common, chosen so that neighbouring windows share it
+and travel as one row as long as they can. Each pass splits the groups of the one before by
+more of the window, until members of a group are equal windows, and drops members that are
+alone as early as possible:
 
 1. The first digit of a window is its anchor: the ``GRAM``-byte string in it with the
    least hash (the first of equals). Equal windows have equal anchors at equal places.
@@ -38,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tulha.llm.common import column_list, map_batches, stored
@@ -277,7 +280,19 @@ def marks(
 
     places = reps.select("rep", "r1", "r2", "l").join(inner, "rep")
     places = places.select("r1", "r2", (F.col("l") + F.col("a")).alias("a"), (F.col("l") + F.col("b")).alias("b"))
-    return found.unionByName(places).distinct()
+    return found.unionByName(places)
+
+
+def _united(stretches: DataFrame) -> DataFrame:
+    """Maximal runs of each text's stretches, by a window that can spill: a text that
+    repeats all over has a stretch per byte, which no row could hold."""
+    before = Window.partitionBy("r1", "r2").orderBy("a", "b")
+    reach = F.max("b").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.when(F.col("a") <= reach, 0).otherwise(1)
+    numbered = stretches.withColumn("fresh", fresh)
+    number = F.sum("fresh").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = numbered.withColumn("run", number).groupBy("r1", "r2", "run")
+    return runs.agg(F.min("a").alias("a"), F.max("b").alias("b"))
 
 
 def merged(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -298,11 +313,8 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = rows.withColumns(
         {"r1": F.xxhash64("doc_id", "text"), "r2": F.xxhash64(F.lit(1), "text", "doc_id")}
     )
-    lists = (
-        marks(rows, length)
-        .groupBy("r1", "r2")
-        .agg(F.collect_list(F.struct("a", "b")).alias("runs"))
-    )
+    lists = _united(marks(rows, length)).groupBy("r1", "r2")
+    lists = lists.agg(F.collect_list(F.struct("a", "b")).alias("runs"))
 
     def work(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {
