@@ -362,8 +362,9 @@ LOGS = {
         FROM execucoes GROUP BY 1""",
     "dash_taxa_ultima_execucao": f"""
         SELECT entity, {even("rejected_rows::DOUBLE / greatest(input_rows, 1)::DOUBLE * 100", 1)} AS taxa_rejeicao
-        FROM execucoes
-        WHERE pipeline_run_id = (SELECT arg_max(pipeline_run_id, executed_at) FROM execucoes)""",
+        FROM (SELECT *, max(executed_at) OVER () AS fim,
+                     max(executed_at) OVER (PARTITION BY pipeline_run_id) AS fim_da_execucao FROM execucoes)
+        WHERE fim_da_execucao = fim""",
     "dash_rejeitados": """
         SELECT entity, reject_reason, logged_at, substr(row_data, 1, 120) AS row_preview
         FROM rejeitados""",
@@ -482,7 +483,9 @@ CHECKS = {
                          max(total_rows) FILTER (check_name = 'duplicate_rows') END AS linhas,
                      count(*) AS checks, count(*) FILTER (status = 'PASS') AS passed,
                      count(*) FILTER (status = 'WARN') AS warned,
-                     count(*) FILTER (status = 'FAIL') AS failed
+                     count(*) FILTER (status = 'FAIL') AS failed,
+                     CASE WHEN grouping(entity) = 0 THEN
+                         string_agg(check_name, ', ' ORDER BY check_name) FILTER (status = 'FAIL') END AS falhas
               FROM checagens GROUP BY ROLLUP (entity))""",
     "dq_integridade": " UNION ALL ".join([
         _orphans("pedidos", "cod_cliente", "dim_clientes", "cod_cliente", "fct_pedidos_venda"),
@@ -565,13 +568,12 @@ MISC = {
 }
 
 # --- loads from landed files -------------------------------------------------
-_LANDED = ["produtos", "clientes", "fornecedores"]
 _ODD_NAME = """CASE WHEN cod_cliente LIKE '%0' THEN 'Loja "' || razao_social || '", filial'
                     WHEN cod_cliente LIKE '%5' THEN razao_social || chr(10) || 'segunda linha'
                     ELSE razao_social END"""
 _CLIENT = [c for c in _columns("clientes") if c != "razao_social"]
 _CLIENT_HASH = ", ".join(f"coalesce({c}, 'nan')" for c in _columns("clientes"))
-TARGETS = {"produtos": "dim_produtos", "clientes": "dim_clientes", "fornecedores": "dim_fornecedores"}
+TARGETS = {n: f"{'dim' if n in ('produtos', 'clientes', 'fornecedores') else 'fct'}_{n}" for n in RAW}
 
 LOADS = {
     "src_csv_clientes": f"""
@@ -582,13 +584,13 @@ LOADS = {
         f"""SELECT '{n}' AS entity, 'SUCCESS' AS status, count(*) AS input_rows,
                    count(*) FILTER (motivo IS NULL) AS valid_rows,
                    count(*) FILTER (motivo IS NOT NULL) AS rejected_rows FROM julgado_{n}"""
-        for n in _LANDED
+        for n in RAW
     ),
     "carga_metadados": " UNION ALL ".join(
         f"""SELECT '{TARGETS[n]}' AS tabela, count(*) AS registros, count(*) AS ativos,
                    count(*) AS carimbados FROM julgado_{n} WHERE motivo IS NULL
             UNION ALL SELECT 'stg_{n}', count(*), NULL, NULL FROM bruto_{n}"""
-        for n in _LANDED
+        for n in RAW
     ),
     "carga_rejeitos_csv": """
         SELECT cod_produto, motivo AS _reject_reason, detalhe AS _reject_detail
@@ -604,6 +606,11 @@ STREAMS = {
         FROM movimentos GROUP BY 1""",
 }
 
+STREAMS["st_saldo_repetidos"] = STREAMS["st_saldo_produto"]
+STREAMS["st_itens_orfaos"] = f"""
+    SELECT num_pedido, seq_item, 'ORPHAN' AS reject_reason FROM {_accepted("itens_pedido_venda")}
+    WHERE num_pedido NOT IN (SELECT num_pedido FROM {_accepted("pedidos_venda")})"""
+
 QUERIES = {
     **STREAMS,
     **LOADS,

@@ -11,7 +11,7 @@ ORACLE = entry.oracle_sql()
 QUERIES = {name: entry.queries()[name] for name in registry.queries()}
 # Written by their own actions; nothing is left to see in the plan.
 ACTIONS = {
-    "st_ingestao_pedidos", "st_saldo_produto", "carga_fornecedores", "carga_log", "carga_metadados",
+    "st_ingestao_pedidos", "st_saldo_produto", "st_saldo_repetidos", "st_itens_orfaos", "carga_fornecedores", "carga_log", "carga_metadados",
     "carga_rejeitos_csv",
 }
 

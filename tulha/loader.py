@@ -8,7 +8,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tulha.model import ENTITIES
 from tulha.operators.calendar import build_calendar
@@ -55,10 +55,11 @@ def store(
     The target comes last: running a batch again replaces its logs and gives the same
     target rows.
     """
-    entity = ENTITIES[name]
-    judged = cut_lineage(judge(staged, name, date_mode))
+    entity, seen = ENTITIES[name], Observation()
     bad = F.col("_reject_reason").isNotNull()
-    counts = judged.agg(F.count(F.lit(1)).alias("i"), F.count_if(bad).alias("r")).first()
+    judged = judge(staged, name, date_mode)
+    judged = cut_lineage(judged.observe(seen, F.count(F.lit(1)).alias("i"), F.count_if(bad).alias("r")))
+    counts = {"i": 0, "r": 0, **seen.get}  # counted while the rows are stored
     if counts["r"]:
         log = reject_log(judged, name, F.current_timestamp())
         warehouse.append(log, "log_registros_rejeitados", f"{batch}-{name}")

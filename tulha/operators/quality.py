@@ -118,8 +118,12 @@ def run_checks(df: DataFrame, entity: str, required: tuple[str, ...] = ()) -> Da
 
 
 def summary(checks: DataFrame) -> DataFrame:
-    """Checks per entity and a total row; FAIL outranks WARN outranks PASS."""
+    """Checks per entity and a total row; FAIL outranks WARN outranks PASS.
+
+    ``falhas`` names the checks of an entity that fail.
+    """
     status = F.col("status")
+    failing = "listagg(check_name, ', ') WITHIN GROUP (ORDER BY check_name) FILTER (WHERE status = 'FAIL')"
     rows = F.max(F.when(F.col("check_name") == "duplicate_rows", F.col("total_rows")))
     counted = (
         checks.groupBy("entity")
@@ -129,12 +133,14 @@ def summary(checks: DataFrame) -> DataFrame:
             F.count_if(status == "PASS").alias("passed"),
             F.count_if(status == "WARN").alias("warned"),
             F.count_if(status == "FAIL").alias("failed"),
+            F.expr(failing).alias("falhas"),
         )
     )
     total = counted.agg(
         F.lit("TOTAL").alias("entity"),
         F.lit(None).cast("long").alias("linhas"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("checks", "passed", "warned", "failed")],
+        F.lit(None).cast("string").alias("falhas"),
     )
     overall = (
         F.when(F.col("failed") > 0, "FAIL").when(F.col("warned") > 0, "WARN").otherwise("PASS")

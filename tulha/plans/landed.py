@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tulha.loader import load_entity
+from tulha.loader import load_all
 from tulha.model import ENTITIES
 from tulha.plans.etl import decimals_as_double
 from tulha.plans.loading import union_all
+from tulha.plans.shared import shared_path
 from tulha.session import scratch_path
 from tulha.sinks.warehouse import Warehouse
 from tulha.sources.csv_files import read_csv
 from tulha.sources.raw_fixture import RawFixture
 
 RUN = "carga"
-LANDED = ["produtos", "clientes", "fornecedores"]
 
 
 def _land(rows: DataFrame, path: str) -> str:
@@ -24,14 +24,20 @@ def _land(rows: DataFrame, path: str) -> str:
     return path
 
 
-def _loaded(spark: SparkSession, sf_dir: str, names: list[str]) -> Warehouse:
-    """A warehouse after one load of the entities from their landed files."""
-    base = scratch_path(spark, "carga")
-    warehouse = Warehouse(spark, f"{base}/warehouse")
-    for name in names:
-        rows = RawFixture(spark, sf_dir).extract(name).select(*ENTITIES[name].columns)
-        load_entity(warehouse, name, _land(rows, f"{base}/landing/{name}.csv"), RUN)
-    return warehouse
+def _loaded(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse after one load of all entities from their landed files.
+
+    The files keep the order of the extract, which decides the row that a key keeps.
+    """
+
+    def build(base: str) -> None:
+        raw, sources = RawFixture(spark, sf_dir), {}
+        for name, entity in ENTITIES.items():
+            rows = raw.extract(name).orderBy("_ord").select(*entity.columns)
+            sources[name] = _land(rows, f"{base}/landing/{name}.csv")
+        load_all(spark, sources, f"{base}/warehouse", RUN)
+
+    return Warehouse(spark, f"{shared_path(spark, 'carga', sf_dir, build)}/warehouse")
 
 
 def src_csv_clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,22 +56,21 @@ def src_csv_clientes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def carga_fornecedores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The supplier table after a load from landed files."""
-    table = _loaded(spark, sf_dir, ["fornecedores"]).table("dim_fornecedores")
+    table = _loaded(spark, sf_dir).table("dim_fornecedores")
     return decimals_as_double(table.drop("_dw_loaded_at", "_is_active"))
 
 
 def carga_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows read, kept and rejected by a load, from its run log."""
-    log = _loaded(spark, sf_dir, LANDED).run_log()
+    log = _loaded(spark, sf_dir).run_log()
     return log.select("entity", "status", "input_rows", "valid_rows", "rejected_rows")
 
 
 def carga_metadados(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load marks of the target tables, and rows of the staging tables."""
-    warehouse = _loaded(spark, sf_dir, LANDED)
+    warehouse = _loaded(spark, sf_dir)
     counted = []
-    for name in LANDED:
-        entity = ENTITIES[name]
+    for entity in ENTITIES.values():
         staged = warehouse.read(entity.staging, entity.raw_schema)
         counted.append(
             warehouse.table(entity.table).agg(
@@ -88,6 +93,6 @@ def carga_metadados(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def carga_rejeitos_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected products of a load, from the CSV files it left."""
-    warehouse = _loaded(spark, sf_dir, ["produtos"])
+    warehouse = _loaded(spark, sf_dir)
     rows = spark.read.option("header", True).csv(f"{warehouse.root}/rejected/produtos_rejected_{RUN}")
     return rows.select("cod_produto", "_reject_reason", "_reject_detail")

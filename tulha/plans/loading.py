@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tulha.functions.columns import half_even, half_up, percent, ratio
 from tulha.model import ENTITIES, REJECT_LOG
 from tulha.operators.rules import judge, reject_log
-from tulha.session import scratch_path
+from tulha.plans.shared import shared_path
 from tulha.sources.raw_fixture import RawFixture
 
 RUNS_SHOWN = 100
@@ -29,21 +29,16 @@ class StoredLog:
     hour, at 1.5 ms a row.
     """
 
-    _paths: dict[tuple[str, str], str] = {}
-
     def __init__(self, raw: RawFixture):
         self._raw = raw
-        key = (raw.spark.sparkContext.applicationId, raw.folder)
-        if key not in self._paths:
-            self._paths[key] = self._store(scratch_path(raw.spark, "log"))
-        self._path = self._paths[key]
+        self._path = shared_path(raw.spark, "log", raw.folder, self._store)
 
     @staticmethod
     def _finished(run: Column, place: int) -> Column:
         month_end = F.last_day(F.to_date(F.substring(run, 5, 6), "yyyyMM")).cast("timestamp")
         return month_end + F.expr(f"INTERVAL {place + 1} HOURS")
 
-    def _store(self, path: str) -> str:
+    def _store(self, path: str) -> None:
         run = F.col("_pipeline_run_id")
         rejects, read = [], []
         for place, name in enumerate(ENTITIES):
@@ -71,7 +66,6 @@ class StoredLog:
             F.round(seconds, 3).cast("double").alias("elapsed_seconds"),
             F.lit("").alias("error_message"), "executed_at",
         ).coalesce(1).write.parquet(f"{path}/runs")
-        return path
 
     def runs(self) -> DataFrame:
         """One row per run and entity."""

@@ -116,7 +116,10 @@ def _load_queries() -> dict[str, Query]:
             )
         },
         "st_ingestao_pedidos": _tuned(streams.st_ingestao_pedidos),
-        "st_saldo_produto": _tuned(streams.st_saldo_produto),
+        **{
+            plan.__name__: _tuned(plan)
+            for plan in (streams.st_saldo_produto, streams.st_saldo_repetidos, streams.st_itens_orfaos)
+        },
     }
 
 

@@ -84,4 +84,6 @@ def extract(spark: SparkSession, path: str, entity: Entity, run_id: str = "") ->
 
 
 def preview(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
-    return spark.read.option("header", True).csv(path).limit(n)
+    """The first rows as the load reads them, all text."""
+    schema = ", ".join(f"`{name}` string" for name in [*_header(spark, path), MALFORMED])
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path).drop(MALFORMED).limit(n)

@@ -6,7 +6,7 @@ and a report pays only for the columns it names.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tulha.functions.columns import line_total, signed_quantity
 from tulha.operators.calendar import build_calendar
@@ -136,8 +136,11 @@ class FixtureStar:
             # Before the keep-first exchange: whole orders stay or go.
             keys = orders.select(F.col("num_pedido").alias("l_orderkey"))
             raw = raw.join(keys, "l_orderkey", "left_semi")
-        first = keep_first(raw, ["l_orderkey", "l_linenumber"], LINE_ORDER)
-        return first.withColumns(
+        return self._typed(keep_first(raw, ["l_orderkey", "l_linenumber"], LINE_ORDER))
+
+    @staticmethod
+    def _typed(lines: DataFrame) -> DataFrame:
+        return lines.withColumns(
             {
                 "quantidade": F.col("l_quantity").cast("decimal(12,2)"),
                 "data_envio": F.col("l_shipdate").cast("date"),
@@ -169,7 +172,8 @@ class FixtureStar:
         )
         return lines.join(cost, "l_partkey", "left")
 
-    def _fct_movimentacoes_estoque(self, wanted: set[str]) -> DataFrame:
+    @staticmethod
+    def _kind_and_quantity() -> dict[str, Column]:
         flag, status, line = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
         kind = (
             F.when(flag == "N", "SAIDA")
@@ -181,13 +185,25 @@ class FixtureStar:
         qty = F.when((kind == "AJUSTE") & (line % 2 == 1), -F.col("quantidade")).otherwise(
             F.col("quantidade")
         )
+        return {"tipo_mov": kind, "quantidade": qty}
+
+    def movements_as_sent(self) -> DataFrame:
+        """All movements with their repeats; ``ordem`` is 1 for the one that counts."""
+        keys = ["l_orderkey", "l_linenumber"]
+        raw = self._read("lineitem").select(*keys, *LINE_ORDER)
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*LINE_ORDER))
+        rows = self._typed(raw.withColumn("ordem", place)).withColumns(self._kind_and_quantity())
+        number = F.concat_ws("-", *keys).alias("num_mov")
+        return rows.select(number, F.col("l_partkey").alias("cod_produto"), "tipo_mov", "quantidade", "ordem")
+
+    def _fct_movimentacoes_estoque(self, wanted: set[str]) -> DataFrame:
         moves = self._lines()
         if not wanted or wanted & {"valor_unitario", "valor_total_mov"}:
             moves = self._with_cost(moves)
         else:
             moves = moves.withColumn("valor_unitario", F.lit(None).cast("decimal(12,2)"))
         return (
-            moves.withColumns({"tipo_mov": kind, "quantidade": qty})
+            moves.withColumns(self._kind_and_quantity())
             .withColumns(
                 {
                     "qty_sinal": signed_quantity(F.col("tipo_mov"), F.col("quantidade")).cast(

@@ -15,22 +15,32 @@ def _files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
 
 def _filled(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return _files(spark, folder, pattern).select(
+        F.col("path").alias("_path"),
         F.element_at(F.split("path", "/"), -1).alias("arquivo"),
         F.col("length").alias("tamanho_bytes"),
         F.col("modificationTime").alias("modificado_em"),
     )
 
 
+def _plain(path: str) -> str:
+    """A path without its scheme, which listings write in different ways."""
+    return unquote(path).removeprefix("file:").replace("//", "/")
+
+
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """Name, bytes and modification time of files; contents are not read.
 
-    Scans skip empty files; these are listed with 0 bytes and no time.
+    Scans skip empty files; these are listed with 0 bytes and no time. Files of one name in
+    several folders are told apart by their paths.
     """
-    found = _files(spark, folder, pattern).inputFiles()
-    names = [(unquote(path.rsplit("/", 1)[-1]),) for path in found]
-    listed = spark.createDataFrame(names, "arquivo string")
-    filled = _filled(spark, folder, pattern)
-    return listed.join(filled, "arquivo", "left").fillna(0, "tamanho_bytes")
+    found = [_plain(path) for path in _files(spark, folder, pattern).inputFiles()]
+    names = [(path, path.rsplit("/", 1)[-1]) for path in found]
+    listed = spark.createDataFrame(names, "_plain string, arquivo string")
+    filled = _filled(spark, folder, pattern).drop("arquivo").withColumn(
+        "_plain", F.regexp_replace(F.regexp_replace("_path", "^file:", ""), "//", "/")
+    )
+    found = listed.join(filled.drop("_path"), "_plain", "left").drop("_plain")
+    return found.fillna(0, "tamanho_bytes")
 
 
 def missing_files(spark: SparkSession, folder: str, expected: list[str]) -> DataFrame:
