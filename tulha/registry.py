@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tulha.model import ENTITIES
 from tulha.operators.quality import referential_checks
 from tulha.plans import (
-    api, dashboard, etl, exercises, forecast, landed, loading, reports, streams, views,
+    api, cataloged, dashboard, etl, exercises, forecast, landed, loading, reports, streams, views,
 )
 from tulha.session import tune
+from tulha.sinks.catalog import VIEWS
 from tulha.sources.fixture import AS_OF, FixtureStar, read_table
 from tulha.sources.raw_fixture import RawFixture
 
@@ -115,6 +116,7 @@ def _load_queries() -> dict[str, Query]:
                 landed.carga_metadados, landed.carga_rejeitos_csv,
             )
         },
+        **{f"cat_{view}": _tuned(cataloged.view_by_name(view)) for view in VIEWS},
         "st_ingestao_pedidos": _tuned(streams.st_ingestao_pedidos),
         **{
             plan.__name__: _tuned(plan)

@@ -142,9 +142,10 @@ class Warehouse:
         self._write(merged, table)
         left = {r[PART] for r in merged.select(self._part(table).alias(PART)).distinct().collect()}
         for part in set(touched) - left:
-            self._remove(f"{self.root}/{table}/{PART}={part}")
+            self._remove_part(table, part)
 
-    def _remove(self, folder: str) -> None:
+    def _remove_part(self, table: str, part: str) -> None:
+        folder = f"{self.root}/{table}/{PART}={part}"
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         hadoop.getFileSystem(conf).delete(hadoop, True)
