@@ -22,9 +22,8 @@ def _filled(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     )
 
 
-def _plain(path: str) -> str:
-    """A path without its scheme, which listings write in different ways."""
-    return unquote(path).removeprefix("file:").replace("//", "/")
+#: Listings write one, two or three slashes after the scheme.
+SCHEME = "^([a-z0-9]+):/+"
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
@@ -33,14 +32,13 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Data
     Scans skip empty files; these are listed with 0 bytes and no time. Files of one name in
     several folders are told apart by their paths.
     """
-    found = [_plain(path) for path in _files(spark, folder, pattern).inputFiles()]
-    names = [(path, path.rsplit("/", 1)[-1]) for path in found]
-    listed = spark.createDataFrame(names, "_plain string, arquivo string")
-    filled = _filled(spark, folder, pattern).drop("arquivo").withColumn(
-        "_plain", F.regexp_replace(F.regexp_replace("_path", "^file:", ""), "//", "/")
+    names = [(unquote(path),) for path in _files(spark, folder, pattern).inputFiles()]
+    plain = F.regexp_replace("_path", SCHEME, "$1:/").alias("_path")
+    listed = spark.createDataFrame(names, "_path string").select(
+        plain, F.element_at(F.split("_path", "/"), -1).alias("arquivo")
     )
-    found = listed.join(filled.drop("_path"), "_plain", "left").drop("_plain")
-    return found.fillna(0, "tamanho_bytes")
+    filled = _filled(spark, folder, pattern).select(plain, "tamanho_bytes", "modificado_em")
+    return listed.join(filled, "_path", "left").drop("_path").fillna(0, "tamanho_bytes")
 
 
 def missing_files(spark: SparkSession, folder: str, expected: list[str]) -> DataFrame:
