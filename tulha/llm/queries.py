@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tulha.llm import (
     decontaminate, language, minhash, neighbours, packing, periodic, pii, quality, repeats, secrets,
-    simhash, toxicity, vectorcodes,
+    simhash, sql, toxicity, vectorcodes,
 )
 from tulha.llm.common import table
 
@@ -83,4 +83,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_vector_codes": sql.vector_codes()}
