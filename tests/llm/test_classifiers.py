@@ -4,9 +4,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tulha.llm import language, quality, toxicity
-from tulha.llm.common import remainder, table
+from tulha.llm.common import CHANCES, labelled, remainder, share, table
 
 FOLDER = "/root/testdata/sf0.1"
 ODD = [(1, None, "en"), (2, "", None), (3, "!!! 12 ###", "fr"), (None, "the house", "en"), (4, "é" * 70_000, "de")]
@@ -116,3 +117,42 @@ def test_isotonic_and_ftrl_small():
     rows = [np.array([1, 2]), np.array([3]), np.array([1, 4]), np.array([3, 4])] * 50
     model = toxicity.ftrl(rows, [1, 0, 1, 0] * 50)
     assert 1 in model.index and model.weight[list(model.index).index(1)] > 0
+
+
+def hot_rows(spark):
+    """One id with 2,000 texts, one row 2,000 times, and 2,000 other ids; all may be learned."""
+    free = [i for i in range(8000) if not held(i, 5, 0) and not held(i, 4, 2)][:2002]
+    n = F.col("id").cast("int")
+    ids = F.array(*[F.lit(i).cast("long") for i in free])
+    return spark.range(6000).select(
+        F.when(n < 2000, F.lit(free[0])).when(n < 4000, F.lit(free[1])).otherwise(F.get(ids, n - 3998)).cast("long").alias("doc_id"),
+        F.when((n >= 2000) & (n < 4000), "the same text").otherwise(F.concat(F.lit("words of "), F.hash("id").cast("string"), F.lit(" and more"))).alias("text"),
+        F.lit("en").alias("lang"), (n % 2).alias("toxic"),
+    ).repartition(16)
+
+
+def test_training_samples_are_bounded_by_rows(spark, monkeypatch):
+    rows = hot_rows(spark)
+    docs, marks = rows.select("doc_id", "text", "lang"), rows.select("doc_id", "toxic")
+    everything = labelled(docs, marks, "toxic", 5, 0, 10_000)
+    assert everything.count() == docs.select("doc_id", "text").distinct().count() == 4001
+    for bound in (100, 1000):
+        found = labelled(docs, marks, "toxic", 5, 0, bound).count()
+        assert found < 1.4 * bound
+    monkeypatch.setattr(toxicity, "SAMPLE", 1000)
+    assert toxicity.train(docs, marks).bias is not None
+
+
+def test_language_sample_is_bounded_by_rows(spark):
+    docs = hot_rows(spark)
+    out = language.sampled(docs, {"en": share(1000, 6000)}).where("lang IS NOT NULL")
+    chosen = out.select("n").distinct().count()
+    assert 0.7 * 2 * 4001 / 6 < chosen < 1.3 * 2 * 1000
+    copies = out.groupBy("n").count().agg(F.max("count")).first()[0]
+    assert copies <= docs.rdd.getNumPartitions()  # a row repeated 2,000 times: once a task
+    assert set(language.train(docs).languages) == {"en"}
+
+
+def test_share_of_very_large_tables():
+    assert share(1000, 10) == share(1000, 1000) == CHANCES
+    assert share(1000, 10**13) * 10**13 / CHANCES == pytest.approx(1000)

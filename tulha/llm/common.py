@@ -175,14 +175,30 @@ def word_hashes(letters: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, ...]
     return mixed((total[end] - total[start]) * down[start]), part[start], start, end
 
 
+def chance(seed: int, *columns: str) -> Column:
+    """A whole number from 0 below CHANCES, the same for equal values of the columns."""
+    return F.shiftrightunsigned(F.xxhash64(*columns, F.lit(seed)), 3)
+
+
+CHANCES = 1 << 61  # fine enough for a sample of any table, however large
+
+
+def share(bound: int, total: int) -> int:
+    """The limit of ``chance`` under which about ``bound`` of ``total`` rows stay."""
+    return CHANCES if total <= bound else CHANCES * bound // total
+
+
 def labelled(
     docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, bound: int
 ) -> DataFrame:
-    """(text, y) of labelled documents outside the held-out remainder, about ``bound`` at most.
+    """(doc_id, text, y) of labelled rows outside the held-out remainder, about ``bound`` at most.
 
     Ids are kept by their hash at a rate of bound / labels, so the sample of ids is small
-    enough to broadcast whatever the size of the corpus. Repeated labels of an id count
-    once (the larger); null labels, ids and texts take no part.
+    enough to broadcast whatever the size of the corpus. The rows of the kept ids are kept
+    by the hash of id and text at a rate of bound / such rows, and rows equal in both count
+    once (a map-side aggregate), so an id or a row that holds much of the table does not
+    exceed the bound. Repeated labels of an id count once (the larger); null labels, ids and
+    texts take no part.
     """
     ids = (
         labels.select("doc_id", F.col(label).cast("int").alias("y"))
@@ -190,8 +206,9 @@ def labelled(
         .groupBy("doc_id")
         .agg(F.max("y").alias("y"))
     )
-    total = ids.count()
-    rate = int(min(1.0, bound / max(total, 1)) * (1 << 20))
-    ids = ids.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < rate)
+    ids = ids.where(chance(11, "doc_id") < share(bound, ids.count()))
     rows = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    return rows.join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y")
+    rows = rows.join(F.broadcast(ids), "doc_id").withColumn("_place", chance(13, "doc_id", "text"))
+    total = rows.select("doc_id", "_place").distinct().count()
+    kept = rows.where(F.col("_place") < share(bound, total))
+    return kept.select("doc_id", "text", "y").distinct()

@@ -15,9 +15,10 @@ has half the thousandth quantile of its cosines as floor, at most ``CEILING``.
 
 Training reads whole texts of all learnable rows once: document frequencies cover all of
 them, added up per task; the clustering gets a sample of at most about ``SAMPLE`` rows
-per language (by the hash of the id) and a beginning of each, a documented bound, so one
-task per language holds 2 x SAMPLE vectors of DIMS numbers at most. The model is languages x CLUSTERS x DIMS numbers,
-whatever the corpus.
+per language (by the hash of id and text; rows equal in both count once) and a beginning of
+each, a documented bound, so one task per language holds 2 x SAMPLE vectors of DIMS numbers
+at most, however often an id or a row repeats. The model is languages x CLUSTERS x DIMS
+numbers, whatever the corpus.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0, and are
 rejected; without anything to learn from every text is ``und``; ties go to the language
@@ -38,7 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tulha.llm.common import (
-    chunks, code_points, column_list, letter_table, map_batches, remainder, stored, texts_of,
+    chance, chunks, code_points, column_list, letter_table, map_batches, remainder, share, stored,
+    texts_of,
 )
 
 DIMS = 4096
@@ -158,19 +160,17 @@ def floors(vectors: np.ndarray, size: np.ndarray, owner: np.ndarray, whole: np.n
     return np.minimum.accumulate(out[::-1])[::-1]
 
 
-def train(docs: DataFrame) -> Model:
-    """Learn from text and lang of rows outside the held-out remainder; see the module."""
-    known = docs.select("doc_id", "text", "lang").where(
-        F.col("lang").isNotNull() & (remainder("doc_id", FOLD[0]) != FOLD[1])
-    )
-    totals = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
-    if not totals:
-        return Model([], np.zeros((0, DIMS)), np.ones(DIMS), np.zeros((0, CLASSES)))
-    limits = {k: int(min(1.0, SAMPLE / n) * (1 << 20)) for k, n in totals.items()}
-    place = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 20)).alias("place")
+def sampled(known: DataFrame, limits: dict[str, int]) -> DataFrame:
+    """Vectors of the rows of ``known`` whose chance is under their language's limit, each
+    row's own and its beginning's; without a language, the document frequencies of a task.
+
+    Rows equal in id and text have one chance: a task gives them once, and so does the
+    aggregate of whoever gathers them by ``lang`` and ``n``.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency, rows = np.zeros(DIMS), 0
+        given = set()
         for batch in batches:
             kept = [
                 (t, lang, place)
@@ -182,17 +182,30 @@ def train(docs: DataFrame) -> Model:
             found = counts([k[0] for k in kept])
             frequency += (found > 0).sum(axis=0)
             rows += len(kept)
-            chosen = [k for k, (_, lang, at) in enumerate(kept) if at < limits[lang]]
+            chosen = []
+            for k, (_, lang, at) in enumerate(kept):
+                if at < limits[lang] and (lang, at) not in given:
+                    given.add((lang, at))
+                    chosen.append(k)
             names = [kept[k][1] for k in chosen]
             yield _sums(names, found[chosen], [2 * kept[k][2] for k in chosen])
             begun = counts([beginning(kept[k][0], kept[k][2]) for k in chosen])
             yield _sums(names, begun, [2 * kept[k][2] + 1 for k in chosen])
         yield _sums([None], frequency[None], [rows])
 
-    out = stored(
-        known.select("text", "lang", place).mapInArrow(work, "lang string, v array<float>, n bigint"),
-        "language",
+    rows = known.select("text", "lang", chance(2, "doc_id", "text").alias("place"))
+    return stored(rows.mapInArrow(work, "lang string, v array<float>, n bigint"), "language")
+
+
+def train(docs: DataFrame) -> Model:
+    """Learn from text and lang of rows outside the held-out remainder; see the module."""
+    known = docs.select("doc_id", "text", "lang").where(
+        F.col("lang").isNotNull() & (remainder("doc_id", FOLD[0]) != FOLD[1])
     )
+    totals = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    if not totals:
+        return Model([], np.zeros((0, DIMS)), np.ones(DIMS), np.zeros((0, CLASSES)))
+    out = sampled(known, {k: share(SAMPLE, n) for k, n in totals.items()})
     sums = (
         out.where(F.col("lang").isNull())
         .select("n", F.posexplode("v").alias("k", "x"))
@@ -224,6 +237,8 @@ def train(docs: DataFrame) -> Model:
 
     fitted = (
         out.where(F.col("lang").isNotNull())
+        .groupBy("lang", "n")
+        .agg(F.first("v").alias("v"))
         .select("lang", "v", "n")
         .groupBy("lang")
         .applyInPandas(fit, "lang string, v array<float>, floor array<double>")

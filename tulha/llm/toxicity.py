@@ -4,11 +4,12 @@ A text is the set of its hashed words (lower-case letter runs), neighbouring pai
 pairs with one word between. Weights come from FTRL-proximal: a learning rate of its own
 for each coordinate, and L1 sparsity, so the model that is broadcast holds the few
 non-zero weights only (``SPACE`` at the very most). One task learns from a sample of at
-most about ``SAMPLE`` labelled rows, a documented bound; scoring is one pass over whole
-texts without a shuffle.
+most about ``SAMPLE`` labelled rows, a documented bound that holds for rows however often an
+id repeats; scoring is one pass over whole texts without a shuffle.
 
 Defined results: null and empty texts get the score of the bias alone; without labelled
-rows to learn from every score is 0; repeated labels of an id count once; a null id is not
+rows to learn from every score is 0; repeated labels of an id and rows equal in id and text
+count once in training; a null id is not
 held out and not learned from; an empty table gives an empty result; other columns are
 not read.
 """
@@ -131,15 +132,17 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return {
             "one": np.zeros(batch.num_rows, np.int32),
             "doc_id": column_list(batch, "doc_id"),
+            "place": column_list(batch, "place"),
             "y": column_list(batch, "y"),
             "x": sets(texts_of(batch)),
         }
 
     kind = dict(docs.dtypes)["doc_id"]
-    sample = map_batches(rows, f"one int, doc_id {kind}, y int, x array<int>", work)
+    rows = rows.withColumn("place", F.xxhash64("text"))
+    sample = map_batches(rows, f"one int, doc_id {kind}, place bigint, y int, x array<int>", work)
 
     def fit(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("doc_id")
+        group = group.sort_values(["doc_id", "place"])
         model = ftrl(group.pop("x").tolist(), group["y"].tolist())
         return pd.DataFrame(
             {"k": [*model.index.tolist(), SPACE], "w": [*model.weight.tolist(), model.bias]}
