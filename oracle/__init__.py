@@ -23,5 +23,7 @@ def _with(query: str, tables: dict[str, str]) -> str:
 def all_queries() -> dict[str, str]:
     tables = {**star.TABLES, **loading.TABLES}
     queries = {**analytics.QUERIES, **loading.QUERIES}
-    queries |= {f"cat_{n}": sql for n, sql in queries.items() if n.startswith("vw_")}
+    views = {n: sql for n, sql in queries.items() if n.startswith("vw_")}
+    queries |= {f"cat_{n}": sql for n, sql in views.items()}
+    queries |= {f"inc_{n}": sql for n, sql in views.items() if "compras" not in n}
     return {name: _with(sql, tables) for name, sql in queries.items()}

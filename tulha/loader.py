@@ -15,6 +15,7 @@ from tulha.operators.calendar import build_calendar
 from tulha.operators.quality import referential_checks, run_checks
 from tulha.operators.rules import judge, reject_log, rejected_rows, valid_rows
 from tulha.session import cut_lineage, shared_dir
+from tulha.sinks.kept import upsert_kept
 from tulha.sinks.warehouse import Warehouse
 from tulha.sources.csv_files import ExtractError, extract
 from tulha.sources.landing import missing_files
@@ -70,7 +71,10 @@ def store(
     else:
         latest = [F.desc("_ord")]
     good = valid_rows(judged, name, keep=["_ord"])
-    warehouse.upsert_entity(good, entity, latest)
+    if warehouse.keeps_sums:
+        upsert_kept(warehouse, good, entity, f"{batch}-{name}", latest)
+    else:
+        warehouse.upsert_entity(good, entity, latest)
     rows, rejected = counts["i"], counts["r"]
     return {"entity": name, "input": rows, "valid": rows - rejected, "rejected": rejected}
 

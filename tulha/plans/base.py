@@ -16,7 +16,9 @@ NOT_SOLD = ["CANCELADO", "DEVOLVIDO"]
 
 
 def line_totals(star: Star) -> DataFrame:
-    """Lines and gross value per sales order."""
+    """Lines and gross value per sales order; a star that keeps them gives its own."""
+    if hasattr(star, "line_totals"):
+        return star.line_totals()
     lines = star.table("fct_itens_pedido_venda", "num_pedido", "seq_item", "valor_total_item")
     return lines.groupBy("num_pedido").agg(
         F.count("seq_item").alias("qtd_itens"),
@@ -46,13 +48,17 @@ def calendar(star: Star, *columns: str) -> DataFrame:
     return F.broadcast(star.table("dim_tempo", "data", *columns))
 
 
+def balances(star: Star) -> DataFrame:
+    """Sum of signed quantities per product; a star that keeps it gives its own."""
+    if hasattr(star, "balances"):
+        return star.balances()
+    moves = star.table("fct_movimentacoes_estoque", "cod_produto", "qty_sinal")
+    return moves.groupBy("cod_produto").agg(F.sum("qty_sinal").alias("saldo"))
+
+
 def stock(star: Star) -> DataFrame:
     """Active products with balance, value (exact) and status."""
-    moves = (
-        star.table("fct_movimentacoes_estoque", "cod_produto", "qty_sinal")
-        .groupBy("cod_produto")
-        .agg(F.sum("qty_sinal").alias("saldo"))
-    )
+    moves = balances(star)
     products = star.table(
         "dim_produtos", "cod_produto", "descricao", "categoria", "unidade", "custo_unitario",
         "preco_venda", "estoque_minimo", "estoque_maximo", "_is_active",

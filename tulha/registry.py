@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tulha.model import ENTITIES
 from tulha.operators.quality import referential_checks
 from tulha.plans import (
-    api, cataloged, dashboard, etl, exercises, forecast, landed, loading, reports, streams, views,
+    api, cataloged, dashboard, etl, exercises, forecast, incremental, landed, loading, reports,
+    streams, views,
 )
 from tulha.session import tune
 from tulha.sinks.catalog import VIEWS
@@ -117,6 +118,10 @@ def _load_queries() -> dict[str, Query]:
             )
         },
         **{f"cat_{view}": _tuned(cataloged.view_by_name(view)) for view in VIEWS},
+        **{
+            f"inc_{view}": _tuned(incremental.kept_view(view))
+            for view in ("vw_estoque_atual", "vw_vendas_consolidadas")
+        },
         "st_ingestao_pedidos": _tuned(streams.st_ingestao_pedidos),
         **{
             plan.__name__: _tuned(plan)

@@ -47,9 +47,11 @@ PARTS: dict[str, Callable[[], Column]] = {
 class Warehouse:
     def __init__(
         self, spark: SparkSession, root: str,
-        parts: dict[str, Callable[[], Column]] | None = None,
+        parts: dict[str, Callable[[], Column]] | None = None, keeps_sums: bool = False,
     ):
+        """``keeps_sums``: loads also keep the sums of ``sinks.kept``, from the first load on."""
         self.spark = spark
+        self.keeps_sums = keeps_sums
         self.root = root.rstrip("/")
         self.parts = {**PARTS, **(parts or {})}
 
