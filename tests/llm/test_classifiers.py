@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tulha.llm import language, quality, toxicity
-from tulha.llm.common import CHANCES, labelled, remainder, share, table
+from tulha.llm.common import CHANCES, labelled, remainder, share, some_texts, table
 
 FOLDER = "/root/testdata/sf0.1"
 ODD = [(1, None, "en"), (2, "", None), (3, "!!! 12 ###", "fr"), (None, "the house", "en"), (4, "é" * 70_000, "de")]
@@ -153,6 +153,18 @@ def test_language_sample_is_bounded_by_rows(spark):
     assert set(language.train(docs).languages) == {"en"}
 
 
+def test_unlabelled_sample_is_bounded_by_rows(spark):
+    """op1 and op3: the hot id and the hot row count as their different texts."""
+    docs = hot_rows(spark)
+    assert some_texts(docs, 10_000, 3).count() == docs.select("text").distinct().count()
+    for bound in (300, 1500):
+        found = [some_texts(docs, bound, seed).count() for seed in (3, 17)]
+        assert all(0.45 * bound < n < 1.2 * bound for n in found)
+    odd = spark.createDataFrame([(None,), ("",), ("",)], "text string")
+    assert [r.text for r in some_texts(odd, 5, 3).collect()] == [""]
+    assert some_texts(odd.limit(0), 5, 3).count() == 0
+
+
 def test_share_of_very_large_tables():
     assert share(1000, 10) == share(1000, 1000) == CHANCES
     assert share(1000, 10**13) * 10**13 / CHANCES == pytest.approx(1000)

@@ -188,6 +188,18 @@ def share(bound: int, total: int) -> int:
     return CHANCES if total <= bound else CHANCES * bound // total
 
 
+def some_texts(docs: DataFrame, bound: int, seed: int) -> DataFrame:
+    """(text) different texts without null, about ``bound`` of them at most.
+
+    Texts are kept by their hash at a rate of bound / rows, and equal ones count once (a
+    map-side aggregate), so neither an id nor a text that holds much of the table exceeds
+    the bound; a table of up to ``bound`` rows is kept whole.
+    """
+    few = share(bound, docs.count())
+    texts = docs.select("text").where(F.col("text").isNotNull() & (chance(seed, "text") < few))
+    return texts.distinct()
+
+
 def labelled(
     docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, bound: int
 ) -> DataFrame:

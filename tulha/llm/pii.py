@@ -14,10 +14,10 @@ in which the spans are written in other ways (``changed``: other separators, bra
 plus sign, a spelled at sign) or replaced by what only looks like them (``unlike``: dates,
 versions, numbers that fail their check). So spans beyond the patterns are added where the
 field prefers them by ``MARGIN``: their kind is one of the four, and the patterns' own
-spans always stay. Training takes at most ``SAMPLE`` islands of about ``SAMPLE_TEXTS``
-texts, none above ``EXAMPLE`` characters, documented bounds. An island is decoded whole,
+spans always stay. Training takes at most ``SAMPLE`` islands of at most about
+``SAMPLE_TEXTS`` different texts, none above ``EXAMPLE`` characters, documented bounds. An island is decoded whole,
 however long. Texts are read whole, once to train and once
-to find; nothing is shuffled but the sample.
+to find; nothing is shuffled but the sampled texts and their islands.
 
 Defined results: null text is empty text; a text without spans has the hash of the empty
 string; added spans never touch the patterns' spans; with no labelled island nothing is
@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tulha.llm.common import column_list, map_batches, texts_of
+from tulha.llm.common import column_list, map_batches, some_texts, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: What the patterns of the four kinds accept. The quantifiers give nothing
@@ -396,10 +396,7 @@ def copies(example: Example, draw: random.Random) -> Iterator[Example]:
 def train(docs: DataFrame) -> Model | None:
     """Learn from islands labelled by the patterns and from changed copies of them; None
     without a labelled span."""
-    share = int(min(1.0, SAMPLE_TEXTS / max(docs.count(), 1)) * (1 << 20))
-    rows = docs.select("doc_id", "text").where(
-        F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(1 << 20)) < share
-    )
+    rows = some_texts(docs, SAMPLE_TEXTS, 3)
 
     def work(batch: pa.RecordBatch) -> dict:
         out = []

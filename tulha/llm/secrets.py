@@ -28,6 +28,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tulha.llm.common import some_texts
+
 #: The patterns, and the least length of what they find.
 ASSIGN = (
     r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -202,8 +204,8 @@ def train(docs: DataFrame) -> list[float] | None:
     """The table of log ratios, or None without a random sample.
 
     Random: the bodies that the patterns find, at most ``RANDOM_TOKENS`` different ones,
-    the first by hash. Ordinary: words of about ``ORDINARY_TEXTS`` whole texts, chosen by
-    the hash of the id, without words that mix digits with letters.
+    the first by hash. Ordinary: words of at most about ``ORDINARY_TEXTS`` whole texts, chosen
+    by the hash of the text, equal texts once, without words that mix digits with letters.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     body = F.concat(
@@ -221,9 +223,7 @@ def train(docs: DataFrame) -> list[float] | None:
     pairs = _pairs(random)
     if not pairs:
         return None
-    share = int(min(1.0, ORDINARY_TEXTS / max(docs.count(), 1)) * (1 << 20))
-    sampled = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
-    words = sampled.select(
+    words = some_texts(docs, ORDINARY_TEXTS, 17).select(
         F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=.-]+"), F.lit(0))).alias("token")
     ).where(~(F.col("token").rlike("[0-9]") & F.col("token").rlike("[A-Za-z]")))
     both = words.select(F.explode(F.array("token", F.upper("token"))).alias("token"))
