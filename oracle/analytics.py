@@ -21,7 +21,24 @@ VIEWS = {
         WHERE status <> 'CANCELADO'""",
 }
 
+_MONTH = "date_trunc('month', data_pedido)"
+
 REPORTS = {
+    "clientes_unicos_periodos": f"""
+        SELECT nivel, periodo, count(DISTINCT cod_cliente) AS clientes_unicos FROM (
+            SELECT 'mes' AS nivel, strftime(data_pedido, '%Y%m') AS periodo, cod_cliente, status
+            FROM pedidos
+            UNION ALL
+            SELECT 'trimestre', strftime(data_pedido, '%Y') || 'T' || quarter(data_pedido), cod_cliente, status
+            FROM pedidos
+            UNION ALL
+            SELECT 'ano', strftime(data_pedido, '%Y'), cod_cliente, status FROM pedidos
+            UNION ALL
+            SELECT 'ultimos_12_meses', strftime({_MONTH} + to_months(CAST(k AS INTEGER)), '%Y%m'), cod_cliente, status
+            FROM pedidos, (SELECT unnest(range(12)) AS k)
+            WHERE {_MONTH} + to_months(CAST(k AS INTEGER)) <= (
+                SELECT max({_MONTH}) FROM pedidos WHERE status <> 'CANCELADO'))
+        WHERE status <> 'CANCELADO' GROUP BY ALL""",
     "estoque_atual": """
         SELECT cod_produto, descricao, categoria, unidade, saldo_atual, estoque_minimo,
                estoque_maximo, valor_estoque, custo_unitario, preco_venda, status_estoque

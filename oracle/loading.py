@@ -336,7 +336,17 @@ _HISTORY = f"""
     SELECT pipeline_run_id, entity, status, input_rows, valid_rows, rejected_rows,
            {up("elapsed_seconds", 2)} AS elapsed_s, executed_at FROM execucoes"""
 
+_SHOWN = {
+    "produtos": "categoria", "clientes": "estado", "pedidos_venda": "status",
+    "movimentacoes_estoque": "tipo_mov",
+}
+
 LOGS = {
+    "rejeicoes_por_valor": " UNION ALL ".join(
+        f"""SELECT '{n}' AS entidade, CAST({c} AS VARCHAR) AS valor, motivo, count(*) AS qtd
+            FROM julgado_{n} WHERE motivo IS NOT NULL GROUP BY ALL"""
+        for n, c in _SHOWN.items()
+    ),
     "api_execucoes": f"""
         SELECT pipeline_run_id AS run_id, entity AS entidade, status, input_rows AS linhas_lidas,
                valid_rows AS linhas_validas, rejected_rows AS linhas_rejeitadas,

@@ -174,6 +174,27 @@ def dash_rejeicoes_motivo(rejects: DataFrame) -> DataFrame:
     )
 
 
+#: The value of each entity by which its rejected rows are counted.
+SHOWN = {
+    "produtos": "categoria", "clientes": "estado", "pedidos_venda": "status",
+    "movimentacoes_estoque": "tipo_mov",
+}
+
+
+def rejeicoes_por_valor(rejects: DataFrame) -> DataFrame:
+    """Rejected rows by a value inside the logged row, read as VARIANT; null where it had none."""
+    row = F.try_parse_json("row_data")
+    value = F.coalesce(*[
+        F.when(F.col("entity") == name, F.try_variant_get(row, f"$.{field}", "string"))
+        for name, field in SHOWN.items()
+    ])
+    return (
+        rejects.filter(F.col("entity").isin(list(SHOWN)))
+        .groupBy(F.col("entity").alias("entidade"), value.alias("valor"), F.col("reject_reason").alias("motivo"))
+        .agg(F.count(F.lit(1)).alias("qtd"))
+    )
+
+
 def dash_qualidade_kpis(runs: DataFrame, rejects: DataFrame) -> DataFrame:
     """One row: rejected rows, entities watched, runs."""
     total = rejects.agg(F.count("entity")).scalar()

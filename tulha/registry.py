@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tulha.model import ENTITIES
 from tulha.operators.quality import referential_checks
 from tulha.plans import (
-    api, cataloged, dashboard, etl, exercises, forecast, incremental, landed, loading, reports,
+    api, cataloged, dashboard, distinct, etl, exercises, forecast, incremental, landed, loading, reports,
     streams, views,
 )
 from tulha.session import tune
@@ -92,7 +92,7 @@ def _load_queries() -> dict[str, Query]:
         loading.api_execucoes, loading.dash_historico, loading.dash_execucoes_recentes,
         loading.api_rejeicoes, loading.entity_report, loading.dash_taxa_ultima_execucao,
     ]
-    rejects = [loading.dash_rejeitados, loading.dash_rejeicoes_motivo]
+    rejects = [loading.dash_rejeitados, loading.dash_rejeicoes_motivo, loading.rejeicoes_por_valor]
     checks = [
         etl.dq_checks, etl.dq_resumo, etl.dq_integridade_validos, etl.dq_predicados,
         etl.dq_datas_ilegiveis, etl.src_row_hash, etl.x_fk_reject,
@@ -122,6 +122,7 @@ def _load_queries() -> dict[str, Query]:
             f"inc_{view}": _tuned(incremental.kept_view(view))
             for view in ("vw_estoque_atual", "vw_vendas_consolidadas")
         },
+        "clientes_unicos_periodos": _tuned(distinct.clientes_unicos_periodos),
         "st_ingestao_pedidos": _tuned(streams.st_ingestao_pedidos),
         **{
             plan.__name__: _tuned(plan)
