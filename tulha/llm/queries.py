@@ -42,7 +42,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.report(table(spark, sf_dir, "documents"))
+    return repeats.report(table(spark, sf_dir, "documents"), words=repeats.WORDS)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

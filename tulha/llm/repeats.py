@@ -12,9 +12,9 @@ alone as early as possible:
 1. The first digit of a window is its anchor: the ``GRAM``-byte string in it with the
    least hash (the first of equals). Equal windows have equal anchors at equal places.
    Neighbouring windows share an anchor, so a row is an anchor with the run of its
-   windows. Rows with the same anchor and the same bytes under their whole run are
-   copies: all their windows repeat, and one of them stands for all from here on. An
-   anchor without a second row is dropped.
+   windows. An anchor without a second row is dropped before anything else. Rows with
+   the same anchor and the same bytes under their whole run are copies: all their windows
+   repeat, and one of them stands for all from here on.
 2. Runs are cut to ``BUCKET`` neighbouring windows. The digit is the bytes that all
    windows of the bucket have in common; again rows with the same bytes under the whole
    bucket are copies, and rows alone with their digit are dropped.
@@ -26,6 +26,13 @@ a join, so no group, however large, is gathered in one task. A passage that a th
 the corpus shares is one class after the first pass. Whole texts are shuffled twice,
 compressed: to the rows that pass 2 needs, and to the marks in the end.
 
+Passages of over 50 words take the same way with words ``[^\\x20\\x09-\\x0D]+`` for bytes:
+windows of ``WORDS`` words, anchors of ``WORD_GRAM`` words, and after the first pass single
+windows, from the same shuffle of the texts. They are often shorter than LENGTH bytes, so
+nothing is removed for them; a text is only marked if another document, one with another
+id or another text, has a window of it too. Texts marked by the first pass are settled, and
+only anchors that some other text has are looked at again.
+
 Defined results: null text is empty text; texts under LENGTH bytes keep all their bytes;
 a repeated row is an occurrence of its own, so two equal rows of LENGTH bytes lose all;
 null ids are kept as they are; an empty table gives an empty result; other columns are
@@ -49,6 +56,8 @@ from tulha.llm.common import column_list, map_batches, stored
 LENGTH = 400
 GRAM = 64
 BUCKET = 12
+WORDS = 51  # words of the least passage of over 50
+WORD_GRAM = 8
 CHUNK = 1 << 20  # windows turned into arrays at a time
 PLACE = np.uint64((1 << 22) - 1)
 
@@ -108,9 +117,11 @@ def anchors(
     return at, first, last, short[at], content
 
 
-def _pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[tuple[int, int, bytes]], int]]:
-    """Groups of (text number, place, bytes), about CHUNK bytes together; long texts are
-    cut so that each window is whole in one piece."""
+def _pieces(
+    texts: list[bytes] | list[np.ndarray], length: int
+) -> Iterator[tuple[list[tuple[int, int, bytes | np.ndarray]], int]]:
+    """Groups of (text number, place, bytes or word hashes), about CHUNK of them together;
+    long texts are cut so that each window is whole in one piece."""
     group, size = [], 0
     for number, text in enumerate(texts):
         for at in range(0, len(text) - length + 1, CHUNK):
@@ -175,39 +186,113 @@ def _anchor_rows(rows: DataFrame, length: int, gram: int) -> DataFrame:
     return map_batches(rows.select("r1", "r2", "text"), schema, work)
 
 
+def _word_hashes(texts: list[bytes]) -> list[np.ndarray]:
+    """The hash of each word of each text."""
+    known: dict[bytes, int] = {}
+    out = []
+    for text in texts:
+        words = text.split()
+        for word in set(words).difference(known):
+            known[word] = xxhash.xxh3_64_intdigest(word)
+        out.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
+    return out
+
+
+def _word_rows(rows: DataFrame, words: int, gram: int) -> DataFrame:
+    """(r1, r2, l, span, k, h): anchors of every text's words, places in words."""
+
+    def work(batch: pa.RecordBatch) -> dict:
+        r1, r2 = (np.array(column_list(batch, c), np.int64) for c in ("r1", "r2"))
+        out: dict[str, list] = {c: [np.zeros(0, np.int64)] for c in ("r1", "r2", "l", "span", "k", "h")}
+        for group, size in _pieces(_word_hashes(_bytes_of(batch)), words):
+            ends = np.cumsum([len(piece) for _, _, piece in group])
+            valid = np.ones(size, bool)
+            for end in ends:
+                valid[max(0, end - words + 1) : end] = False
+            data = np.concatenate([piece for _, _, piece in group])
+            _, first, last, k, h = anchors(data, valid, words, gram)
+            owner = np.searchsorted(ends, first, side="right")
+            number = np.array([n for n, _, _ in group])[owner]
+            shift = np.array([a for _, a, _ in group])[owner] - np.append(0, ends)[owner]
+            for name, values in (
+                ("r1", r1[number]), ("r2", r2[number]), ("l", first + shift), ("span", last - first),
+                ("k", k.view(np.int64)), ("h", h.view(np.int64)),
+            ):
+                out[name].append(values)
+        return {name: np.concatenate(parts) for name, parts in out.items()}
+
+    schema = "r1 bigint, r2 bigint, l int, span int, k bigint, h bigint"
+    return map_batches(rows.select("r1", "r2", "text"), schema, work)
+
+
+def _of_several(rows: DataFrame, *digit: str) -> DataFrame:
+    """The digits that more than one document has."""
+    ends = rows.groupBy(*digit).agg(F.min("r1").alias("low"), F.max("r1").alias("high"))
+    return ends.where("low < high").select(*digit)
+
+
+def _passages(rows: DataFrame, words: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """Texts (r1, r2) that share a whole run of word windows with another document, and the
+    runs (r1, r2, l, span) whose windows tell for the others."""
+    runs = stored(_word_rows(rows, words, gram), "words")
+    runs = stored(runs.join(_of_several(runs, "k"), "k"), "passages")
+    found = runs.join(_of_several(runs, "k", "h"), ["k", "h"]).select("r1", "r2").distinct()
+    found = stored(found, "found")
+    left = runs.join(found, ["r1", "r2"], "left_anti").select("k").distinct()
+    one = [F.first(c).alias(c) for c in ("r1", "r2", "l", "span")]
+    need = runs.join(left, "k").groupBy("k", "h").agg(*one)
+    return found, need.select("r1", "r2", "l", "span")
+
+
 def _contested(classes: DataFrame, digit: str, times: str) -> DataFrame:
     """Classes whose digit has another class and a member that is not known to repeat."""
     digits = classes.groupBy(digit).agg(F.count("*").alias("c"), F.min(times).alias("least"))
     return classes.join(digits.where("c > 1 and least = 1").select(digit), digit)
 
 
-def _near_rows(rows: DataFrame, need: DataFrame, length: int) -> DataFrame:
-    """The bytes under the run of each needed row: (rep, r1, r2, p, l, span, n, near)."""
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _near_rows(
+    rows: DataFrame, need: DataFrame, length: int, passages: DataFrame | None, words: int
+) -> DataFrame:
+    """(rep, r1, r2, p, l, span, n, near, w1, w2): the bytes under each needed run; for runs
+    of ``passages`` a row without bytes for the hash of each window."""
+    least = length
+    if passages is not None:
+        none = F.lit(None)
+        need = need.select("r1", "r2", "p", "l", "span", "n").unionByName(
+            passages.select("r1", "r2", none.cast("int").alias("p"), "l", "span", none.cast("long").alias("n"))
+        )
+        least = min(length, 2 * words - 1)
     lists = need.groupBy("r1", "r2").agg(F.collect_list(F.struct("p", "l", "span", "n")).alias("a"))
+    names = ("r1", "r2", "p", "l", "span", "n", "near", "w1", "w2")
 
     def work(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {c: [] for c in ("r1", "r2", "p", "l", "span", "n", "near")}
+        found: list[tuple] = []
         columns = (column_list(batch, c) for c in ("r1", "r2", "a"))
         for text, r1, r2, runs in zip(_plain(batch), *columns):
+            split = text.split() if any(run["p"] is None for run in runs) else []
             for run in runs:
-                begin = run["l"]
-                for name, value in (
-                    ("r1", r1), ("r2", r2), ("p", run["p"]), ("l", begin), ("span", run["span"]),
-                    ("n", run["n"]), ("near", text[begin : begin + run["span"] + length]),
-                ):
-                    out[name].append(value)
-        return out
-
-    schema = "r1 bigint, r2 bigint, p int, l int, span int, n bigint, near binary"
-    long = rows.where(F.octet_length("text") >= length).select("r1", "r2", "text")
+                p, l, span = run["p"], run["l"], run["span"]
+                if p is not None:
+                    found.append((r1, r2, p, l, span, run["n"], text[l : l + span + length], None, None))
+                    continue
+                for at in range(l, l + span + 1):
+                    w = xxhash.xxh3_128_intdigest(b" ".join(split[at : at + words]))
+                    w1, w2 = _signed(w >> 64), _signed(w & (1 << 64) - 1)
+                    found.append((r1, r2, None, None, None, None, None, w1, w2))
+        return dict(zip(names, zip(*found))) if found else {c: [] for c in names}
+
+    schema = (
+        "r1 bigint, r2 bigint, p int, l int, span int, n bigint, near binary, w1 bigint, w2 bigint"
+    )
+    long = rows.where(F.octet_length("text") >= least).select("r1", "r2", "text")
     found = map_batches(_compressed(long).join(lists, ["r1", "r2"]), schema, work)
     return stored(found.withColumn("rep", F.monotonically_increasing_id()), "near")
 
 
-def _signed(value: int) -> int:
-    return value - (1 << 64) if value >> 63 else value
-
-
 def _bucket_rows(reps: DataFrame, length: int, bucket: int) -> DataFrame:
     """(i, o, rep, a, b, n): buckets of windows a to b, digit i, content o."""
 
@@ -260,13 +345,31 @@ def marks(
     rows: DataFrame, length: int = LENGTH, gram: int = GRAM, bucket: int = BUCKET
 ) -> DataFrame:
     """(r1, r2, a, b): stretches of texts under windows that occur elsewhere too."""
+    return _marks(rows, length, gram, bucket, None, 0)[0]
+
+
+def marks_and_passages(rows: DataFrame, length: int, words: int) -> tuple[DataFrame, DataFrame]:
+    """``marks``, and (r1, r2) of the texts with a window of words of another document."""
+    found, need = _passages(rows, words, WORD_GRAM)
+    stretches, near = _marks(rows, length, GRAM, BUCKET, need, words)
+    windows = near.where("w1 is not null").select("r1", "r2", "w1", "w2")
+    late = windows.join(_of_several(windows, "w1", "w2"), ["w1", "w2"]).select("r1", "r2")
+    return stretches, found.unionByName(late)
+
+
+def _marks(
+    rows: DataFrame, length: int, gram: int, bucket: int, passages: DataFrame | None, words: int
+) -> tuple[DataFrame, DataFrame]:
     runs = stored(_anchor_rows(rows, length, gram), "anchors")
+    several = runs.groupBy("k").agg(F.count("*").alias("c")).where("c > 1").select("k")
+    runs = stored(runs.join(several, "k"), "runs")
     one = [F.first(c).alias(c) for c in ("r1", "r2", "p", "l", "span")]
     classes = stored(runs.groupBy("k", "h").agg(F.count("*").alias("n"), *one), "classes")
     copies = runs.join(classes.where("n > 1").select("k", "h"), ["k", "h"])
     found = copies.select("r1", "r2", F.col("l").alias("a"), (F.col("l") + F.col("span") + length).alias("b"))
 
-    reps = _near_rows(rows, _contested(classes, "k", "n"), length)
+    near = _near_rows(rows, _contested(classes, "k", "n"), length, passages, words)
+    reps = near.where("near is not null").drop("w1", "w2")
     buckets = _bucket_rows(reps, length, bucket)
     one = [F.first(c).alias(c) for c in ("rep", "a", "b")]
     classes = stored(buckets.groupBy("i", "o").agg(F.sum("n").alias("m"), *one), "classes")
@@ -280,7 +383,7 @@ def marks(
 
     places = reps.select("rep", "r1", "r2", "l").join(inner, "rep")
     places = places.select("r1", "r2", (F.col("l") + F.col("a")).alias("a"), (F.col("l") + F.col("b")).alias("b"))
-    return found.unionByName(places)
+    return found.unionByName(places), near
 
 
 def _united(stretches: DataFrame) -> DataFrame:
@@ -306,22 +409,32 @@ def merged(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
+def report(docs: DataFrame, length: int = LENGTH, words: int = 0) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with ``words`` also
+    shared_passage, 1 if another document has a passage of so many words of it."""
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     rows = docs.select("doc_id", text)
     rows = rows.withColumns(
         {"r1": F.xxhash64("doc_id", "text"), "r2": F.xxhash64(F.lit(1), "text", "doc_id")}
     )
-    lists = _united(marks(rows, length)).groupBy("r1", "r2")
-    lists = lists.agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    if words:
+        found, passages = marks_and_passages(rows, length, words)
+        none = F.lit(None).cast("int")
+        passages = passages.select("r1", "r2", none.alias("a"), none.alias("b"))
+        lists = _united(found).select("r1", "r2", "a", "b").unionByName(passages)
+    else:
+        lists = _united(marks(rows, length))
+    stretch = F.when(F.col("a").isNotNull(), F.struct("a", "b"))  # lists leave nulls out
+    lists = lists.groupBy("r1", "r2").agg(
+        F.collect_list(stretch).alias("runs"), F.max(F.col("a").isNull().cast("int")).alias("shared")
+    )
 
     def work(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {
-            c: [] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+            c: [] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "shared_passage")
         }
-        columns = column_list(batch, "doc_id"), _plain(batch), column_list(batch, "runs")
-        for doc_id, content, runs in zip(*columns):
+        columns = (column_list(batch, c) for c in ("doc_id", "runs", "shared"))
+        for content, doc_id, runs, shared in zip(_plain(batch), *columns):
             spans = merged([(r["a"], r["b"]) for r in runs or ()])
             kept, last = hashlib.sha256(), 0
             for a, b in spans:
@@ -333,9 +446,11 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             out["n_removed"].append(sum(b - a for a, b in spans))
             out["n_spans"].append(len(spans))
             out["kept_sha256"].append(kept.hexdigest())
+            out["shared_passage"].append(shared or 0)
         return out
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    whole = _compressed(rows).join(lists, ["r1", "r2"], "left").select("doc_id", "z", "runs")
+    schema += ", shared_passage int" if words else ""
+    whole = _compressed(rows).join(lists, ["r1", "r2"], "left").select("doc_id", "z", "runs", "shared")
     return map_batches(whole, schema, work)
