@@ -122,3 +122,16 @@ def test_passages_of_the_whole_table(spark, folder):
     full = queries.op6_repeats(spark, folder).collect()
     assert sorted((str(r.doc_id), r.shared_passage) for r in full) == want
     assert sorted((str(r[0]), *r[1:5]) for r in full) == brute(rows, repeats.LENGTH)
+
+
+def test_word_hashes_do_not_depend_on_slices(monkeypatch):
+    draw = random.Random(4)
+    texts = [" ".join("ab\0é"[: draw.randint(1, 4)] * draw.randint(1, 30) for _ in range(n)).encode() for n in (40, 0, 7, 90)]
+    texts += [b"", b" \n", b"x\x0b\x0cy\tz\r\n", b"y" * 300 + b" x", b"q " * 9 + b"y" * 300]
+    whole = repeats._word_hashes(texts)
+    assert [len(w) for w in whole] == [len(t.split()) for t in texts]
+    for size in (5, 64, 301):
+        monkeypatch.setattr(repeats, "CHUNK", size)
+        cut = [h for w in repeats._word_hashes(texts) for h in w.tolist()]
+        words = [w for t in texts for w in t.split()]
+        assert len(set(zip(words, cut))) == len(set(words)) == len(set(cut))

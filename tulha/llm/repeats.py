@@ -42,6 +42,7 @@ not read.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,7 +52,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tulha.llm.common import column_list, map_batches, stored
+from tulha.llm.common import column_list, map_batches, stored, word_hashes
 
 LENGTH = 400
 GRAM = 64
@@ -60,6 +61,9 @@ WORDS = 51  # words of the least passage of over 50
 WORD_GRAM = 8
 CHUNK = 1 << 20  # windows turned into arrays at a time
 PLACE = np.uint64((1 << 22) - 1)
+WORD, GAP = re.compile(rb"[^\x20\x09-\x0D]+"), re.compile(rb"[\x20\x09-\x0D]")
+#: By byte: 0 for what parts words.
+WORD_BYTES = np.array([0 if GAP.match(bytes([k])) else k + 1 for k in range(256)], np.uint16)
 
 
 def _stir(values: np.ndarray) -> np.ndarray:
@@ -186,16 +190,42 @@ def _anchor_rows(rows: DataFrame, length: int, gram: int) -> DataFrame:
     return map_batches(rows.select("r1", "r2", "text"), schema, work)
 
 
+def _blocks(texts: list[bytes]) -> Iterator[list[tuple[int, bytes]]]:
+    """Groups of (text number, slice) of about CHUNK bytes together; no word is cut."""
+    block, size = [], 0
+    for number, text in enumerate(texts):
+        if len(text) > CHUNK:  # a longer word would be a slice without bound
+            text = WORD.sub(lambda m: m[0] if len(m[0]) <= CHUNK else _digest(m[0]), text)
+        at = 0
+        while at < len(text):
+            gap = GAP.search(text, at + CHUNK)
+            end = gap.end() if gap else len(text)
+            block.append((number, text[at:end]))
+            size += end - at
+            at = end
+            if size >= CHUNK:
+                yield block
+                block, size = [], 0
+    if block:
+        yield block
+
+
+def _digest(word: bytes) -> bytes:
+    return xxhash.xxh3_128_hexdigest(word).encode()
+
+
 def _word_hashes(texts: list[bytes]) -> list[np.ndarray]:
     """The hash of each word of each text."""
-    known: dict[bytes, int] = {}
-    out = []
-    for text in texts:
-        words = text.split()
-        for word in set(words).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        out.append(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)))
-    return out
+    out: list[list[np.ndarray]] = [[np.zeros(0, np.uint64)] for _ in texts]
+    for block in _blocks(texts):
+        data = np.frombuffer(b"".join(part + b"\n" for _, part in block), np.uint8)
+        sizes = [len(part) + 1 for _, part in block]
+        part = np.repeat(np.arange(len(block), dtype=np.int32), sizes)
+        hashes, owner, _, _ = word_hashes(WORD_BYTES[data], part)
+        cuts = np.cumsum(np.bincount(owner, minlength=len(block)))[:-1]
+        for (number, _), words in zip(block, np.split(hashes, cuts)):
+            out[number].append(words)
+    return [np.concatenate(parts) for parts in out]
 
 
 def _word_rows(rows: DataFrame, words: int, gram: int) -> DataFrame:
@@ -236,12 +266,13 @@ def _passages(rows: DataFrame, words: int, gram: int) -> tuple[DataFrame, DataFr
     runs (r1, r2, l, span) whose windows tell for the others."""
     runs = stored(_word_rows(rows, words, gram), "words")
     runs = stored(runs.join(_of_several(runs, "k"), "k"), "passages")
-    found = runs.join(_of_several(runs, "k", "h"), ["k", "h"]).select("r1", "r2").distinct()
-    found = stored(found, "found")
-    left = runs.join(found, ["r1", "r2"], "left_anti").select("k").distinct()
     one = [F.first(c).alias(c) for c in ("r1", "r2", "l", "span")]
-    need = runs.join(left, "k").groupBy("k", "h").agg(*one)
-    return found, need.select("r1", "r2", "l", "span")
+    ends = F.min("r1").alias("low"), F.max("r1").alias("high")
+    classes = stored(runs.groupBy("k", "h").agg(*ends, *one), "classes")
+    copies = classes.where("low < high").select("k", "h")
+    found = stored(runs.join(copies, ["k", "h"]).select("r1", "r2").distinct(), "found")
+    left = runs.join(found, ["r1", "r2"], "left_anti").select("k").distinct()
+    return found, classes.join(left, "k").select("r1", "r2", "l", "span")
 
 
 def _contested(classes: DataFrame, digit: str, times: str) -> DataFrame:
