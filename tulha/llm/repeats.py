@@ -265,7 +265,8 @@ def _passages(rows: DataFrame, words: int, gram: int) -> tuple[DataFrame, DataFr
     """Texts (r1, r2) that share a whole run of word windows with another document, and the
     runs (r1, r2, l, span) whose windows tell for the others."""
     runs = stored(_word_rows(rows, words, gram), "words")
-    runs = stored(runs.join(_of_several(runs, "k"), "k"), "passages")
+    several = stored(_of_several(runs, "k"), "several")  # else the join splits no skewed key
+    runs = stored(runs.join(several, "k"), "passages")
     one = [F.first(c).alias(c) for c in ("r1", "r2", "l", "span")]
     ends = F.min("r1").alias("low"), F.max("r1").alias("high")
     classes = stored(runs.groupBy("k", "h").agg(*ends, *one), "classes")
@@ -393,7 +394,7 @@ def _marks(
 ) -> tuple[DataFrame, DataFrame]:
     runs = stored(_anchor_rows(rows, length, gram), "anchors")
     several = runs.groupBy("k").agg(F.count("*").alias("c")).where("c > 1").select("k")
-    runs = stored(runs.join(several, "k"), "runs")
+    runs = stored(runs.join(stored(several, "several"), "k"), "runs")  # else no skewed key is split
     one = [F.first(c).alias(c) for c in ("r1", "r2", "p", "l", "span")]
     classes = stored(runs.groupBy("k", "h").agg(F.count("*").alias("n"), *one), "classes")
     copies = runs.join(classes.where("n > 1").select("k", "h"), ["k", "h"])
