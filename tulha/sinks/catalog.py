@@ -132,6 +132,8 @@ class CatalogWarehouse(Warehouse):
             self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({PART} = '{part}')")
         super()._remove_part(table, part)
 
-    def upsert_entity(self, df: DataFrame, entity: Entity, latest: list[Column]) -> None:
+    def upsert_entity(
+        self, df: DataFrame, entity: Entity, latest: list[Column], one_per_key: bool = False
+    ) -> None:
         defaults = self.defaults(entity.table)
-        self.upsert(df, entity.table, list(entity.key), entity.schema, latest, defaults)
+        self.upsert(df, entity.table, list(entity.key), entity.schema, latest, defaults, one_per_key)
