@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -10,6 +11,7 @@ from tulha.model import ENTITIES, Entity
 from tulha.plans import views
 from tulha.plans.cataloged import as_stored
 from tulha.plans.shared import shared_path
+from tulha.session import short_shuffles, stored_rows
 from tulha.sinks.kept import KeptStar, kept_sums, upsert_kept
 from tulha.sinks.warehouse import Warehouse
 from tulha.sources.fixture import FixtureStar
@@ -33,23 +35,43 @@ def _batches(rows: DataFrame, entity: Entity) -> list[DataFrame]:
     return [early.filter(share <= 5), rows.filter(share.between(5, 8)), rows.filter((share == 4) | (share == 9))]
 
 
+class _LinesOnce(FixtureStar):
+    """The star of a folder over lines that were stored after the keep-first step."""
+
+    def __init__(self, star: FixtureStar, lines: DataFrame):
+        super().__init__(star.spark, star._dir)
+        self._first = lines
+
+    def _lines(self, orders: DataFrame | None = None) -> DataFrame:
+        return self._first if orders is None else super()._lines(orders)
+
+
 def _kept(spark: SparkSession, sf_dir: str) -> KeptStar:
     """A warehouse after three batches of lines and movements, the second one run twice."""
 
-    def build(root: str) -> None:
-        star, warehouse = FixtureStar(spark, sf_dir), Warehouse(spark, root, keeps_sums=True)
-        for entity in ENTITIES.values():
-            if entity not in (LINES, MOVES):
-                warehouse.replace(as_stored(star, entity), entity.table)
-        warehouse.replace(star.table("dim_tempo"), "dim_tempo")
-        for entity in (LINES, MOVES):
-            latest = [F.col(c) for c in entity.key]
-            for number, rows in enumerate(_batches(as_stored(star, entity), entity)):
+    def in_batches(star: FixtureStar, warehouse: Warehouse, entity: Entity) -> None:
+        latest = [F.col(c) for c in entity.key]
+        with stored_rows(as_stored(star, entity)) as stored:  # else each batch derives them again
+            for number, rows in enumerate(_batches(stored, entity)):
                 for _ in range(2 if number == 1 else 1):
                     upsert_kept(warehouse, rows, entity, f"lote{number}", latest)
                 if number == 1:
                     kept_sums(warehouse)[entity.name].compact()
 
+    def others(star: FixtureStar, warehouse: Warehouse) -> None:
+        for entity in ENTITIES.values():
+            if entity not in (LINES, MOVES):
+                warehouse.replace(as_stored(star, entity), entity.table)
+        warehouse.replace(star.table("dim_tempo"), "dim_tempo")
+
+    def build(root: str) -> None:
+        star, warehouse = FixtureStar(spark, sf_dir), Warehouse(spark, root, keeps_sums=True)
+        with short_shuffles(spark), stored_rows(star._lines()) as lines, ThreadPoolExecutor(3) as pool:
+            star = _LinesOnce(star, lines)
+            jobs = [pool.submit(in_batches, star, warehouse, e) for e in (LINES, MOVES)]
+            for job in [*jobs, pool.submit(others, star, warehouse)]:
+                job.result()
+
     return KeptStar(Warehouse(spark, shared_path(spark, "mantidas", sf_dir, build), keeps_sums=True))
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tulha.model import ENTITIES, Entity
 from tulha.operators.dedup import keep_first
+from tulha.session import stored_rows
 from tulha.sinks.warehouse import PART, Warehouse
 from tulha.sources.star import FrameStar
 
@@ -103,12 +104,13 @@ class KeptSums:
         changed = F.exists(F.array(*[F.col(n).cast(SUM) for n in names]), lambda x: x != 0)
         return changes.groupBy(self.key).agg(*sums).filter(changed)
 
-    def record(self, batch: str, rows: DataFrame, latest: list[Column]) -> bool:
+    def record(self, batch: str, rows: DataFrame, latest: list[Column], one_per_key: bool = False) -> bool:
         """Store what ``rows`` will change, before they go into the table by the same
-        ``latest``; false when the batch is there already."""
+        ``latest``; false when the batch is there already. ``one_per_key`` says that no
+        key repeats."""
         if batch in self.recorded():
             return False
-        new = keep_first(rows, list(self.entity.key), latest)
+        new = rows if one_per_key else keep_first(rows, list(self.entity.key), latest)
         kinds = {f.name: f.dataType for f in self.entity.schema}
         new = new.select(*[F.col(c).cast(k).alias(c) if c in new.columns else F.lit(None).cast(k).alias(c) for c, k in kinds.items()])
         changes = self._signed(new, 1).unionByName(self._signed(self._stored(new), -1))
@@ -173,8 +175,14 @@ def kept_sums(warehouse: Warehouse) -> dict[str, KeptSums]:
 
 
 def upsert_kept(warehouse: Warehouse, rows: DataFrame, entity: Entity, batch: str, latest: list[Column]) -> None:
-    """A batch into its table, its changes into the kept sums first."""
+    """A batch into its table, its changes into the kept sums first.
+
+    The rows that win their keys are stored, so that the batch is worked out only once.
+    """
     sums = kept_sums(warehouse).get(entity.name)
-    if sums is not None:
-        sums.record(batch, rows, latest)
-    warehouse.upsert_entity(rows, entity, latest)
+    if sums is None:
+        warehouse.upsert_entity(rows, entity, latest)
+        return
+    with stored_rows(keep_first(rows, list(entity.key), latest)) as last:
+        sums.record(batch, last, latest, one_per_key=True)
+        warehouse.upsert_entity(last, entity, latest, one_per_key=True)
