@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -10,9 +11,13 @@ from tulha.functions.columns import half_even, half_up, percent, ratio
 from tulha.model import ENTITIES, REJECT_LOG
 from tulha.operators.rules import judge, reject_log
 from tulha.plans.shared import shared_path
+from tulha.session import COMPRESSION, short_shuffles
 from tulha.sources.raw_fixture import RawFixture
 
 RUNS_SHOWN = 100
+#: Entities judged at the same time: enough to fill the cluster at the end of each one's
+#: stages, few enough that the disk holds the shuffles of two.
+AT_ONCE = 2
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -39,21 +44,31 @@ class StoredLog:
         return month_end + F.expr(f"INTERVAL {place + 1} HOURS")
 
     def _store(self, path: str) -> None:
+        with short_shuffles(self._raw.spark):
+            with ThreadPoolExecutor(AT_ONCE) as pool:
+                list(pool.map(lambda e: self._store_rejects(path, *e), enumerate(ENTITIES)))
+            self._store_runs(path)
+
+    def _store_rejects(self, path: str, place: int, name: str) -> None:
+        at = self._finished(F.col("_pipeline_run_id"), place)
+        log = reject_log(judge(self._raw.extract(name), name), name, at)
+        log.write.option("compression", COMPRESSION).parquet(f"{path}/rejects/{name}")
+
+    def _read_rejects(self, path: str) -> DataFrame:
+        return self._raw.spark.read.schema(REJECT_LOG).parquet(*[f"{path}/rejects/{n}" for n in ENTITIES])
+
+    def _store_runs(self, path: str) -> None:
         run = F.col("_pipeline_run_id")
-        rejects, read = [], []
+        read = []
         for place, name in enumerate(ENTITIES):
             rows = self._raw.extract(name)
-            at = self._finished(run, place)
-            rejects.append(reject_log(judge(rows, name), name, at))
             read.append(
                 rows.groupBy(run.alias("pipeline_run_id"))
                 .agg(F.count(F.lit(1)).alias("input_rows"))
                 .withColumns({"entity": F.lit(name), "executed_at": self._finished(F.col("pipeline_run_id"), place)})
             )
-        union_all(rejects).write.parquet(f"{path}/rejects")
-        spark = self._raw.spark
         bad = (
-            spark.read.schema(REJECT_LOG).parquet(f"{path}/rejects")
+            self._read_rejects(path)
             .groupBy("entity", F.col("pipeline_run").alias("pipeline_run_id"))
             .agg(F.count(F.lit(1)).alias("bad"))
         )
@@ -73,7 +88,7 @@ class StoredLog:
 
     def rejects(self) -> DataFrame:
         """One row per rejected row."""
-        return self._raw.spark.read.schema(REJECT_LOG).parquet(f"{self._path}/rejects")
+        return self._read_rejects(self._path)
 
 
 def plain_time(c: str) -> Column:
