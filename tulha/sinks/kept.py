@@ -16,6 +16,8 @@ A null key of the sums is a key like any other. One writer at a time, as for the
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tulha.model import ENTITIES, Entity
@@ -174,15 +176,20 @@ def kept_sums(warehouse: Warehouse) -> dict[str, KeptSums]:
     }
 
 
-def upsert_kept(warehouse: Warehouse, rows: DataFrame, entity: Entity, batch: str, latest: list[Column]) -> None:
+def upsert_kept(
+    warehouse: Warehouse, rows: DataFrame, entity: Entity, batch: str, latest: list[Column],
+    one_per_key: bool = False,
+) -> None:
     """A batch into its table, its changes into the kept sums first.
 
-    The rows that win their keys are stored, so that the batch is worked out only once.
+    The rows that win their keys are stored, so that the batch is worked out only once;
+    ``one_per_key`` says that no key repeats in ``rows``, which is then read several times.
     """
     sums = kept_sums(warehouse).get(entity.name)
     if sums is None:
-        warehouse.upsert_entity(rows, entity, latest)
+        warehouse.upsert_entity(rows, entity, latest, one_per_key)
         return
-    with stored_rows(keep_first(rows, list(entity.key), latest)) as last:
+    won = nullcontext(rows) if one_per_key else stored_rows(keep_first(rows, list(entity.key), latest))
+    with won as last:
         sums.record(batch, last, latest, one_per_key=True)
         warehouse.upsert_entity(last, entity, latest, one_per_key=True)

@@ -3,7 +3,7 @@
 A table is split into parts (months or hash numbers; others have one part). A load writes
 the parts it touches with dynamic partition overwrite: Spark writes them aside and swaps
 them in when the job commits, so a load that dies before leaves the old rows readable.
-Rows that come from the parts to be replaced are set aside first. Where the catalog
+Rows that stay in the parts to be replaced are read in the same job. Where the catalog
 has a table format with MERGE INTO, use that instead. One writer per table at a time.
 """
 
@@ -13,7 +13,7 @@ from collections.abc import Callable
 from contextlib import nullcontext
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tulha.model import ENTITIES, REJECT_LOG, RUN_LOG, Entity
 from tulha.operators.calendar import build_calendar
@@ -160,11 +160,12 @@ class Warehouse:
                 current = current.filter(F.col(PART).isin(touched))
             else:
                 touched = [ONE_PART]
-            with stored_rows(untouched(current.drop(PART), last, keys)) as kept:
-                merged = kept.unionByName(last)
-                self._write(merged, table)
-                left = {r[PART] for r in merged.select(self._part(table).alias(PART)).distinct().collect()}
-        for part in set(touched) - left:
+            # Dynamic overwrite swaps the parts when the job commits, after all rows were read.
+            written = Observation()
+            merged = untouched(current.drop(PART), last, keys).unionByName(last)
+            parts = F.collect_set(self._part(table)).alias("parts")
+            self._write(merged.observe(written, parts), table)
+        for part in set(touched) - set(written.get["parts"]):
             self._remove_part(table, part)
 
     def _remove_part(self, table: str, part: str) -> None:
