@@ -27,7 +27,7 @@ def shuffle_files(spark):
 
 
 def left_by(spark, before):
-    for _ in range(50):  # files go in the background
+    for _ in range(300):  # files go in the background
         if not (left := shuffle_files(spark) - before):
             break
         time.sleep(0.1)
